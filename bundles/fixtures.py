@@ -92,3 +92,37 @@ def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("l_linenumber") - 1) % 5 + 1).alias("rating"),
         F.col("l_partkey").alias("order_key"),
     )
+
+
+# A review-side / metadata-side pair shaped like the reference's raw JSON
+# records (names, types, the title clash), derived row by row from the tables.
+RAW_REVIEWS_SQL = """
+select cast(rating as double) as rating, concat('Order ', cast(order_id as varchar(20))) as title,
+       cast(parent_asin as varchar(20)) as asin, cast(parent_asin as varchar(20)) as parent_asin,
+       cast(user_id as varchar(20)) as user_id, epoch_ms(ts) as timestamp,
+       helpful_vote, verified_purchase, order_id, line_no
+from fx_reviews"""
+
+RAW_META_SQL = """
+select upper(cat_1) as main_category, title, cast(price as varchar(30)) as price, categories,
+       cat_2 as store, cast(parent_asin as varchar(20)) as parent_asin
+from fx_products"""
+
+
+def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = reviews(spark, sf_dir)
+    return r.select(
+        F.col("rating").cast("double").alias("rating"),
+        F.concat(F.lit("Order "), F.col("order_id").cast("string")).alias("title"),
+        F.col("parent_asin").cast("string").alias("asin"),
+        F.col("parent_asin").cast("string").alias("parent_asin"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.unix_millis("ts").alias("timestamp"),
+        "helpful_vote", "verified_purchase", "order_id", "line_no")
+
+
+def raw_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = products(spark, sf_dir)
+    return p.select(F.upper("cat_1").alias("main_category"), "title",
+                    F.col("price").cast("string").alias("price"), "categories",
+                    F.col("cat_2").alias("store"), F.col("parent_asin").cast("string").alias("parent_asin"))

@@ -10,19 +10,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ..fixtures import COLLECTIONS_SQL, PRODUCTS_SQL, REVIEWS_SQL
+from ..fixtures import COLLECTIONS_SQL, PRODUCTS_SQL, RAW_META_SQL, RAW_REVIEWS_SQL, REVIEWS_SQL
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
 FX_CTES = (f"fx_products as ({PRODUCTS_SQL}),\n fx_reviews as ({REVIEWS_SQL}),\n"
-           f" fx_collections as ({COLLECTIONS_SQL})")
+           f" fx_collections as ({COLLECTIONS_SQL}),\n raw_reviews as ({RAW_REVIEWS_SQL}),\n"
+           f" raw_meta as ({RAW_META_SQL})")
 
 
 def with_fx(body: str) -> str:
     """Prefix the fixture views as CTEs.  ``body`` may start with more CTEs
     (``, name as (...)``) followed by the final select."""
     body = body.strip()
+    if body[:5].lower() == "with ":
+        body = ", " + body[5:]
     if body.startswith(","):
         return f"with {FX_CTES}{body}"
     return f"with {FX_CTES}\n{body}"
@@ -39,5 +42,5 @@ def query(key: str, sql: str | None = None, fx: bool = True):
 
 def load_all():
     """Import every query module so that the decorators run."""
-    from . import (q_core, q_recommend)  # noqa: F401
+    from . import q_core, q_recommend  # noqa: F401
     return QUERIES, ORACLE
