@@ -42,5 +42,5 @@ def query(key: str, sql: str | None = None, fx: bool = True):
 
 def load_all():
     """Import every query module so that the decorators run."""
-    from . import q_core, q_recommend, q_text  # noqa: F401
+    from . import q_agg, q_core, q_recommend, q_text  # noqa: F401
     return QUERIES, ORACLE
