@@ -24,6 +24,8 @@ def with_fx(body: str) -> str:
     """Prefix the fixture views as CTEs.  ``body`` may start with more CTEs
     (``, name as (...)``) followed by the final select."""
     body = body.strip()
+    if body[:15].lower() == "with recursive ":
+        return f"with recursive {FX_CTES}, {body[15:]}"
     if body[:5].lower() == "with ":
         body = ", " + body[5:]
     if body.startswith(","):
@@ -42,5 +44,5 @@ def query(key: str, sql: str | None = None, fx: bool = True):
 
 def load_all():
     """Import every query module so that the decorators run."""
-    from . import q_agg, q_core, q_recommend, q_text  # noqa: F401
+    from . import q_agg, q_core, q_mining, q_recommend, q_text  # noqa: F401
     return QUERIES, ORACLE
