@@ -99,6 +99,30 @@ def by_popularity(baskets: DataFrame, ranked_pop: DataFrame, catalog: DataFrame,
     return (top_n_per_group(s, [B], [F.asc("pop_rank")], n, salt_cols=[I]).drop("pop_rank"))
 
 
+def basket_signatures(baskets: DataFrame) -> DataFrame:
+    """(basket_id, sig): an order-free fingerprint of each basket's distinct item set.
+
+    Built by aggregation (count and two independent 64-bit hash sums, summed
+    as decimals so they never overflow), so no basket is ever collected.
+    """
+    items = baskets.select(B, I).where(F.col(I).isNotNull()).distinct()
+    h1 = F.xxhash64(I).cast("decimal(20,0)")
+    h2 = F.xxhash64(F.concat(F.lit("#"), F.col(I).cast("string"))).cast("decimal(20,0)")
+    return items.groupBy(B).agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.sum(h1).cast("string"),
+                                            F.sum(h2).cast("string")).alias("sig"))
+
+
+def per_distinct_basket(strategy, baskets: DataFrame, *args, **kwargs) -> DataFrame:
+    """Run ``strategy`` once per distinct item set and fan the result out to
+    every basket holding that set (all strategies depend on the set only)."""
+    sig = basket_signatures(baskets)
+    reps = sig.groupBy("sig").agg(F.min(B).alias(B))
+    rep_items = baskets.join(reps.select(B), B, "left_semi")
+    res = strategy(rep_items, *args, **kwargs)
+    fan = reps.withColumnRenamed(B, "__rep").join(sig, "sig").select("__rep", B)
+    return res.withColumnRenamed(B, "__rep").join(fan, "__rep").drop("__rep")
+
+
 @dataclass(frozen=True)
 class Strategy:
     name: str
