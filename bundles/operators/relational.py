@@ -81,14 +81,12 @@ def category_match(recs: DataFrame, interacted: DataFrame, user_col: str = "user
     Null categories never match.  Two left joins to the user's distinct
     category sets replace the per-row lookup.
     """
-    c4 = (interacted.select(user_col, F.col(cat4).alias("__c4")).where(F.col("__c4").isNotNull())
-          .distinct().withColumn("__m4", F.lit(True)))
-    c2 = (interacted.select(user_col, F.col(cat2).alias("__c2")).where(F.col("__c2").isNotNull())
-          .distinct().withColumn("__m2", F.lit(True)))
-    out = (recs.join(c4, (recs[user_col] == c4[user_col]) & (recs[cat4] == c4["__c4"]), "left")
-           .drop(c4[user_col]).drop("__c4"))
-    out = (out.join(c2, (out[user_col] == c2[user_col]) & (out[cat2] == c2["__c2"]), "left")
-           .drop(c2[user_col]).drop("__c2"))
+    c4 = (interacted.select(F.col(user_col).alias("__u4"), F.col(cat4).alias("__c4"))
+          .where(F.col("__c4").isNotNull()).distinct().withColumn("__m4", F.lit(True)))
+    c2 = (interacted.select(F.col(user_col).alias("__u2"), F.col(cat2).alias("__c2"))
+          .where(F.col("__c2").isNotNull()).distinct().withColumn("__m2", F.lit(True)))
+    out = recs.join(c4, (F.col(user_col) == F.col("__u4")) & (F.col(cat4) == F.col("__c4")), "left")
+    out = out.join(c2, (F.col(user_col) == F.col("__u2")) & (F.col(cat2) == F.col("__c2")), "left")
     label = (F.when(F.col("__m4"), "same_cat4").when(F.col("__m2"), "same_cat2_diff_cat4")
              .otherwise("diff_cat2"))
-    return out.withColumn("match", label).drop("__m4", "__m2")
+    return out.withColumn("match", label).drop("__m4", "__m2", "__u4", "__u2", "__c4", "__c2")
