@@ -44,5 +44,5 @@ def query(key: str, sql: str | None = None, fx: bool = True):
 
 def load_all():
     """Import every query module so that the decorators run."""
-    from . import q_agg, q_cascade, q_clean, q_core, q_mining, q_ml, q_recommend, q_text  # noqa: F401
+    from . import q_agg, q_cascade, q_clean, q_core, q_io, q_mining, q_ml, q_recommend, q_text  # noqa: F401
     return QUERIES, ORACLE
