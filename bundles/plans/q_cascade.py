@@ -15,7 +15,7 @@ from ..operators import edges as ed
 from ..operators import mining as mn
 from ..operators import recommend as rec
 from ..operators.topn import first_per_key, top_n_per_group
-from .q_mining import SQL_COOC, SQL_POP, SQL_RULES, SQL_TXN, SUPPORT, _txt, rules_at_choice, sql_patterns
+from .q_mining import SQL_COOC, SQL_POP, SQL_RULES, SQL_SUPPORT, SQL_TXN, _txt, rules_at_choice, sql_patterns
 from .q_recommend import SQL_SIM, first_item_baskets, members
 from .registry import query
 
@@ -36,7 +36,8 @@ class Model:
         self.members = members(spark, sf).cache()
         self.txn = col.transactions(self.members).cache()
         self.n = self.txn.count()
-        self.patterns = mn.frequent_itemsets(self.txn, SUPPORT, self.n).cache()
+        self.support = mn.adaptive_support(self.txn).support
+        self.patterns = mn.frequent_itemsets(self.txn, self.support, self.n).cache()
         rules, _ = rules_at_choice(self.patterns, self.n)
         self.rules = mn.one_per_antecedent(rules)
         self.catalog = self.members.select("item_id").distinct()
@@ -82,7 +83,7 @@ def _cascade_out(df):
 
 
 # ---- SQL side -------------------------------------------------------------------
-BASE = SQL_TXN + sql_patterns(SUPPORT) + SQL_RULES + SQL_COOC + SQL_POP + SQL_SIM + """
+BASE = SQL_TXN + sql_patterns(SQL_SUPPORT) + SQL_RULES + SQL_COOC + SQL_POP + SQL_SIM + """
 , sim_cnt as (select item1, item2, weight from sim_raw)
 """
 

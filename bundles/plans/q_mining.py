@@ -13,7 +13,10 @@ from ..operators.topn import top_n
 from .q_recommend import SQL_MEMBERS, members
 from .registry import query
 
-SUPPORT = 67  # the adaptive choice on the p_name baskets at sf0.01 (first candidate)
+# The oracle SQL computes the first adaptive candidate, int(n * 0.5 / 100),
+# from the transaction count; at sf0.01 it lies in the 10..1000 window
+# (checked by job_adaptive_support), so both engines mine the same support.
+SQL_SUPPORT = "(select greatest(1, cast(floor(count(*) * 0.5 / 100) as bigint)) from txn)"
 
 
 def transactions(spark, sf):
@@ -21,11 +24,11 @@ def transactions(spark, sf):
 
 
 def mined(spark, sf):
-    """Transactions, the adaptive support and its itemsets."""
+    """Transactions, the adaptive support and its itemsets (mined once, cached)."""
     txn = transactions(spark, sf).cache()
     choice = mn.adaptive_support(txn)
     n = txn.count()
-    pats = mn.frequent_itemsets(txn, choice.support, n)
+    pats = mn.frequent_itemsets(txn, choice.support, n).cache()
     return txn, n, choice, pats
 
 
@@ -178,16 +181,15 @@ def agg_item_freq(spark, sf):
     return mn.item_frequency(transactions(spark, sf))
 
 
-@query("job_freq_itemsets", SQL_TXN + sql_patterns(SUPPORT) + """
+@query("job_freq_itemsets", SQL_TXN + sql_patterns(SQL_SUPPORT) + """
 select array_to_string(items, '|') as items, cast(len(items) as int) as size, freq from patterns""")
 def job_freq_itemsets(spark, sf):
-    txn = transactions(spark, sf)
-    p = mn.frequent_itemsets(txn, SUPPORT)
+    _, _, _, p = mined(spark, sf)
     return p.select(_txt(F.col("items")).alias("items"), F.size("items").alias("size"), "freq")
 
 
-@query("job_adaptive_support", SQL_TXN + sql_patterns(SUPPORT) + """
-select cast(67 as bigint) as support, (select count(*) from patterns) as n_patterns, 'in_window' as status,
+@query("job_adaptive_support", SQL_TXN + sql_patterns(SQL_SUPPORT) + f"""
+select {SQL_SUPPORT} as support, (select count(*) from patterns) as n_patterns, 'in_window' as status,
        (select count(*) from txn) as n_transactions""")
 def job_adaptive_support(spark, sf):
     txn = transactions(spark, sf).cache()
@@ -200,7 +202,7 @@ def job_adaptive_support(spark, sf):
         F.lit(choice.status).alias("status"), F.lit(n).cast("bigint").alias("n_transactions"))
 
 
-@query("job_rules", SQL_TXN + sql_patterns(SUPPORT) + SQL_RULES + """
+@query("job_rules", SQL_TXN + sql_patterns(SQL_SUPPORT) + SQL_RULES + """
 select array_to_string(r.ante, '|') as antecedent, array_to_string(r.cons, '|') as consequent,
        round(r.conf, 6) as confidence, r.sup as support,
        round(r.conf / (cast(c.freq as double) / (select n from nt)), 6) as lift
@@ -212,7 +214,7 @@ def job_rules(spark, sf):
                     F.round("confidence", 6).alias("confidence"), "support", F.round("lift", 6).alias("lift"))
 
 
-@query("job_top_patterns", SQL_TXN + sql_patterns(SUPPORT) + """
+@query("job_top_patterns", SQL_TXN + sql_patterns(SQL_SUPPORT) + """
 select array_to_string(items, '|') as items, freq from patterns order by freq desc, array_to_string(items, '|') limit 10""")
 def job_top_patterns(spark, sf):
     txn, n, choice, pats = mined(spark, sf)
@@ -220,7 +222,7 @@ def job_top_patterns(spark, sf):
     return top_n(p, [F.desc("freq"), F.asc("items")], 10)
 
 
-@query("job_top_rules", SQL_TXN + sql_patterns(SUPPORT) + SQL_RULES + """
+@query("job_top_rules", SQL_TXN + sql_patterns(SQL_SUPPORT) + SQL_RULES + """
 select array_to_string(ante, '|') as antecedent, array_to_string(cons, '|') as consequent, round(conf, 6) as confidence
 from rules order by conf desc, array_to_string(ante, '|'), array_to_string(cons, '|') limit 10""")
 def job_top_rules(spark, sf):
@@ -242,19 +244,17 @@ SQL_COOC = """
 """
 
 
-@query("agg_cooc_patterns", SQL_TXN + sql_patterns(SUPPORT) + SQL_COOC + """
+@query("agg_cooc_patterns", SQL_TXN + sql_patterns(SQL_SUPPORT) + SQL_COOC + """
 select item1, item2, round(weight, 6) as weight from cooc_raw""")
 def agg_cooc_patterns(spark, sf):
-    txn = transactions(spark, sf)
-    e = ed.cooccurrence_edges(mn.frequent_itemsets(txn, SUPPORT), normalize=False)
+    e = ed.cooccurrence_edges(mined(spark, sf)[3], normalize=False)
     return e.select("item1", "item2", F.round("weight", 6).alias("weight"))
 
 
-@query("job_cooc_edges", SQL_TXN + sql_patterns(SUPPORT) + SQL_COOC + """
+@query("job_cooc_edges", SQL_TXN + sql_patterns(SQL_SUPPORT) + SQL_COOC + """
 select item1, item2, round(weight, 6) as weight from cooc_norm""")
 def job_cooc_edges(spark, sf):
-    txn = transactions(spark, sf)
-    e = ed.cooccurrence_edges(mn.frequent_itemsets(txn, SUPPORT), normalize=True)
+    e = ed.cooccurrence_edges(mined(spark, sf)[3], normalize=True)
     return e.select("item1", "item2", F.round("weight", 6).alias("weight"))
 
 
@@ -264,19 +264,17 @@ SQL_POP = """
 """
 
 
-@query("agg_popularity", SQL_TXN + sql_patterns(SUPPORT) + SQL_POP + """
+@query("agg_popularity", SQL_TXN + sql_patterns(SQL_SUPPORT) + SQL_POP + """
 select item, round(popularity, 6) as popularity from pop""")
 def agg_popularity(spark, sf):
-    txn = transactions(spark, sf)
-    p = ed.popularity(mn.frequent_itemsets(txn, SUPPORT))
+    p = ed.popularity(mined(spark, sf)[3])
     return p.select("item", F.round("popularity", 6).alias("popularity"))
 
 
-@query("job_popularity", SQL_TXN + sql_patterns(SUPPORT) + SQL_POP + """
+@query("job_popularity", SQL_TXN + sql_patterns(SQL_SUPPORT) + SQL_POP + """
 select item, round(popularity, 6) as popularity from pop order by popularity desc, item limit 20""")
 def job_popularity(spark, sf):
-    txn = transactions(spark, sf)
-    p = ed.popularity(mn.frequent_itemsets(txn, SUPPORT))
+    p = ed.popularity(mined(spark, sf)[3])
     return top_n(p, [F.desc("popularity"), "item"], 20).select("item", F.round("popularity", 6).alias("popularity"))
 
 
