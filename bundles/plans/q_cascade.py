@@ -36,8 +36,8 @@ class Model:
         self.members = members(spark, sf).cache()
         self.txn = col.transactions(self.members).cache()
         self.n = self.txn.count()
-        self.support = mn.adaptive_support(self.txn).support
-        self.patterns = mn.frequent_itemsets(self.txn, self.support, self.n).cache()
+        choice = mn.adaptive_support(self.txn)
+        self.support, self.patterns = choice.support, choice.itemsets
         rules, _ = rules_at_choice(self.patterns, self.n)
         self.rules = mn.one_per_antecedent(rules)
         self.catalog = self.members.select("item_id").distinct()
@@ -53,16 +53,23 @@ class Model:
 
 
 def collection_cascade(md, baskets, n=N_CASCADE):
+    return rec.per_distinct_basket(_collection_cascade, baskets, md, n)
+
+
+def item_cascade(md, baskets, n=N_CASCADE):
+    return rec.per_distinct_basket(_item_cascade, baskets, md, n)
+
+
+def _collection_cascade(baskets, md, n=N_CASCADE):
     return rec.cascade([
         rec.Strategy("rules", 1.0, rec.by_rules(baskets, md.rules, md.catalog, n)),
         rec.Strategy("co-occurrence", 0.8, rec.by_edges(baskets, md.cooc(False), md.catalog, n)),
         rec.Strategy("collection_similarity", 0.6, rec.by_edges(baskets, md.sim(False), md.catalog, n)),
-        rec.Strategy("popular", 0.4, rec.per_distinct_basket(rec.by_popular_same_collections, baskets,
-                                                             md.members, n)),
+        rec.Strategy("popular", 0.4, rec.by_popular_same_collections(baskets, md.members, n)),
     ], n)
 
 
-def item_cascade(md, baskets, n=N_CASCADE):
+def _item_cascade(baskets, md, n=N_CASCADE):
     known = rec.known_items(baskets, md.catalog)
     return rec.cascade([
         rec.Strategy("association_rules", 1.0, rec.by_rules(known, md.rules, md.catalog, n)),
@@ -165,13 +172,13 @@ def _sel_rank(t):
 @query("rec_rules", BASE + SQL_B2 + SQL_KNOWN + sql_rules_strategy("s", 5) + _sel_rank("s"))
 def rec_rules(spark, sf):
     md = Model(spark, sf)
-    return _out(rec.by_rules(two_item_baskets(md.members), md.rules, md.catalog, 5))
+    return _out(rec.per_distinct_basket(rec.by_rules, two_item_baskets(md.members), md.rules, md.catalog, 5))
 
 
 @query("rec_cooc", BASE + SQL_B2 + SQL_KNOWN + sql_edge_strategy("s", "cooc_raw", 5) + _sel_rank("s"))
 def rec_cooc(spark, sf):
     md = Model(spark, sf)
-    return _out(rec.by_edges(two_item_baskets(md.members), md.cooc(False), md.catalog, 5))
+    return _out(rec.per_distinct_basket(rec.by_edges, two_item_baskets(md.members), md.cooc(False), md.catalog, 5))
 
 
 @query("rec_popular_same", BASE + SQL_B2 + SQL_KNOWN + sql_popular_same("s", 5) + _sel_rank("s"))
@@ -184,7 +191,7 @@ def rec_popular_same(spark, sf):
 @query("rec_popular", BASE + SQL_B2 + SQL_KNOWN + sql_popularity("s", 5) + _sel_rank("s"))
 def rec_popular(spark, sf):
     md = Model(spark, sf)
-    return _out(rec.by_popularity(two_item_baskets(md.members), md.ranked_pop(), md.catalog, 5))
+    return _out(rec.per_distinct_basket(rec.by_popularity, two_item_baskets(md.members), md.ranked_pop(), md.catalog, 5))
 
 
 COLLECTION_PARTS = [("s1", 1.0, "rules"), ("s2", 0.8, "co-occurrence"), ("s3", 0.6, "collection_similarity"),
@@ -237,9 +244,8 @@ def rec_probe(spark, sf):
     first5 = (md.members.groupBy("collection_id").count().where("count >= 2")
               .orderBy("collection_id").limit(5).select("collection_id"))
     b = first_item_baskets(md.members.join(first5, "collection_id", "left_semi"))
-    res = _cascade_out(item_cascade(md, b, 5))
-    first = res.select(F.min("basket_id")).scalar()
-    return res.where(F.col("basket_id") == first)
+    res = _cascade_out(item_cascade(md, b, 5)).cache()  # at most 5 baskets x 5 rows
+    return res.join(res.agg(F.min("basket_id").alias("basket_id")), "basket_id")
 
 
 # ---- basket joins ---------------------------------------------------------------

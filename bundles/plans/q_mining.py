@@ -27,9 +27,7 @@ def mined(spark, sf):
     """Transactions, the adaptive support and its itemsets (mined once, cached)."""
     txn = transactions(spark, sf).cache()
     choice = mn.adaptive_support(txn)
-    n = txn.count()
-    pats = mn.frequent_itemsets(txn, choice.support, n).cache()
-    return txn, n, choice, pats
+    return txn, txn.count(), choice, choice.itemsets
 
 
 def rules_at_choice(pats, n):
@@ -192,11 +190,7 @@ def job_freq_itemsets(spark, sf):
 select {SQL_SUPPORT} as support, (select count(*) from patterns) as n_patterns, 'in_window' as status,
        (select count(*) from txn) as n_transactions""")
 def job_adaptive_support(spark, sf):
-    txn = transactions(spark, sf).cache()
-    choice = mn.adaptive_support(txn)
-    n = txn.count()
-    pats = mn.frequent_itemsets(txn, choice.support, n)
-    # the chosen support with a full recount of its itemsets
+    txn, n, choice, pats = mined(spark, sf)
     return pats.agg(F.count(F.lit(1)).alias("n_patterns")).select(
         F.lit(choice.support).cast("bigint").alias("support"), "n_patterns",
         F.lit(choice.status).alias("status"), F.lit(n).cast("bigint").alias("n_transactions"))
