@@ -14,24 +14,35 @@ from pyspark.sql import functions as F
 
 
 def basket_pairs(members: DataFrame, basket_col: str = "collection_id", item_col: str = "item_id",
-                 block_size: int = 256) -> DataFrame:
+                 block_size: int = 256, assume_distinct: bool = False) -> DataFrame:
     """Ordered pairs (item1, item2), item1 != item2, of distinct items sharing a basket.
 
-    Output: ``basket_col, item1, item2``.
+    Baskets of at most ``block_size`` items take a plain self-join on the
+    basket key.  Larger baskets are cut into hash blocks and joined on
+    (basket, block_a, block_b), so a hot basket is spread over many tasks.
+    The table of large baskets is usually tiny (AQE broadcasts it after
+    measuring it).  Output: ``basket_col, item1, item2``.
     """
-    m = members.select(basket_col, item_col).where(F.col(item_col).isNotNull()).distinct()
+    m = members.select(basket_col, item_col).where(F.col(item_col).isNotNull())
+    if not assume_distinct:
+        m = m.distinct()
     sizes = m.groupBy(basket_col).agg(F.count(F.lit(1)).alias("__n"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(block_size)).cast("int"))
-    blk = (m.join(sizes, basket_col)
-           .select(basket_col, item_col, nb.alias("__nb"))
+    large = sizes.where(F.col("__n") > block_size).select(
+        basket_col, F.ceil(F.col("__n") / F.lit(block_size)).cast("int").alias("__nb"))
+    small = m.join(large, basket_col, "left_anti")
+    plain = (small.select(basket_col, F.col(item_col).alias("item1"))
+             .join(small.select(basket_col, F.col(item_col).alias("item2")), basket_col)
+             .where(F.col("item1") != F.col("item2")))
+    blk = (m.join(large, basket_col)
            .withColumn("__b", F.pmod(F.xxhash64(item_col), F.col("__nb")).cast("int")))
     left = blk.select(basket_col, F.col(item_col).alias("item1"), F.col("__b").alias("__b1"),
                       F.explode(F.sequence(F.lit(0), F.col("__nb") - 1)).alias("__b2"))
     right = blk.select(basket_col, F.col(item_col).alias("item2"), F.col("__b").alias("__b2"),
                        F.explode(F.sequence(F.lit(0), F.col("__nb") - 1)).alias("__b1"))
-    return (left.join(right, [basket_col, "__b1", "__b2"])
-            .where(F.col("item1") != F.col("item2"))
-            .select(basket_col, "item1", "item2"))
+    blocked = (left.join(right, [basket_col, "__b1", "__b2"])
+               .where(F.col("item1") != F.col("item2"))
+               .select(basket_col, "item1", "item2"))
+    return plain.unionByName(blocked)
 
 
 def row_normalize(edges: DataFrame, weight_col: str = "weight", src_col: str = "item1") -> DataFrame:
@@ -42,9 +53,9 @@ def row_normalize(edges: DataFrame, weight_col: str = "weight", src_col: str = "
 
 
 def similarity_edges(members: DataFrame, basket_col: str = "collection_id", item_col: str = "item_id",
-                     normalize: bool = True, block_size: int = 256) -> DataFrame:
+                     normalize: bool = True, block_size: int = 256, assume_distinct: bool = False) -> DataFrame:
     """Collection co-occurrence: #baskets holding both items; optionally row-normalised."""
-    e = (basket_pairs(members, basket_col, item_col, block_size)
+    e = (basket_pairs(members, basket_col, item_col, block_size, assume_distinct)
          .groupBy("item1", "item2").agg(F.count(F.lit(1)).cast("double").alias("weight")))
     return row_normalize(e) if normalize else e
 
