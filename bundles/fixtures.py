@@ -17,7 +17,13 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; ``timestamp_ntz`` columns become UTC ``timestamp``."""
+    """Read one driver table; ``timestamp_ntz`` columns become UTC ``timestamp``.
+
+    The engine works in UTC: the session zone is pinned so timestamp casts and
+    formatting do not depend on the machine's zone.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     casts = [F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType)
              else F.col(f.name) for f in df.schema.fields]

@@ -17,8 +17,8 @@ def clean_collections(df: DataFrame, collection_col: str = "collection_id", item
     Order of steps is the reference's: dedupe, dropna, binarise, size filter.
     """
     keys = [collection_col, item_col]
-    order = [F.col(order_col).asc_nulls_last()] if order_col else []
-    order += [F.col(rating_col).desc_nulls_last()]
+    order = [(order_col, "asc", True)] if order_col else []
+    order += [(rating_col, "desc", True)]
     dedup = first_per_key(df, keys, order)
     kept = dedup.dropna(subset=keys).withColumn(
         "binary_rating", F.coalesce((F.col(rating_col) > 0).cast("int"), F.lit(0)))

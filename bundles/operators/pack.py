@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _walker(size: int, max_repeat: int):
+def _walker(size: int, max_repeat: int, key: str = "__g"):
     def run(batches):
         import pandas as pd
 
@@ -29,7 +29,7 @@ def _walker(size: int, max_repeat: int):
         cols = None
         for pdf in batches:
             cols = list(pdf.columns)
-            ig, i2, i3 = cols.index("__g"), cols.index("__c2"), cols.index("__c3")
+            ig, i2, i3 = cols.index(key), cols.index("__c2"), cols.index("__c3")
             out = []
             for row in zip(*[pdf[c].tolist() for c in cols]):
                 if row[ig] != group:
@@ -50,20 +50,41 @@ def _walker(size: int, max_repeat: int):
 
 def pack_collections(df: DataFrame, group_col: str = "cat_1", c2_col: str = "cat_2", c3_col: str = "cat_3",
                      order_col: str = "parent_asin", item_col: str = "parent_asin", rating_col: str = "rating",
-                     size: int = 5, max_repeat: int = 2, partitions: int | None = None) -> DataFrame:
-    """Output: collection_id (1-based, groups in ascending key order), item_id, rating, group."""
+                     size: int = 5, max_repeat: int = 2, partitions: int | None = None,
+                     shard_rows: int | None = None) -> DataFrame:
+    """Output: collection_id (1-based, groups in ascending key order), item_id, rating, group, position.
+
+    ``shard_rows=None`` is the exact walk: one group is walked by one task
+    (constant memory, time linear in the group).  With ``shard_rows`` a group
+    is cut into consecutive shards of that many rows (by its order) that are
+    walked in parallel, each from an empty collection; only the at most
+    ``size - 1`` rows buffered at a shard end can differ from the exact walk.
+    """
     src = (df.where(F.col(group_col).isNotNull())
            .select(F.col(group_col).alias("__g"), F.col(c2_col).alias("__c2"), F.col(c3_col).alias("__c3"),
                    F.col(order_col).alias("__o"), F.col(item_col).alias("item_id"),
                    F.col(rating_col).alias("rating")))
+    if shard_rows:
+        from .select import global_index
+        idx = global_index(src, ["__g", "__o"], "__idx")
+        first = idx.groupBy("__g").agg(F.min("__idx").alias("__first"))
+        src = (idx.join(first, "__g")
+               .withColumn("__s", F.floor((F.col("__idx") - F.col("__first")) / shard_rows).cast("long"))
+               .drop("__idx", "__first"))
+    else:
+        src = src.withColumn("__s", F.lit(0).cast("long"))
+    # the walker keys on one column: group and shard joined as text
+    src = src.withColumn("__gk", F.concat_ws("\u0001", F.col("__g").cast("string"), F.col("__s").cast("string")))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    walked_schema = src.schema.add("__seq", T.LongType()).add("__pos", T.IntegerType())
-    walked = (src.repartition(n, "__g").sortWithinPartitions("__g", "__o")
-              .mapInPandas(_walker(size, max_repeat), walked_schema))
-    per_group = walked.groupBy("__g").agg((F.max("__seq") + 1).alias("__ncol"))
-    # one row per group: the prefix sum is over a small table
-    offs = per_group.select("__g", (F.sum("__ncol").over(Window.orderBy("__g")) - F.col("__ncol")).alias("__off"))
-    # offsets: one row per group; AQE broadcasts it when its measured size allows
-    return (walked.join(offs, "__g")
+    walked = src.repartition(n, "__g", "__s").sortWithinPartitions("__g", "__s", "__o")
+    walked_schema = T.StructType(src.schema.fields + [T.StructField("__seq", T.LongType()),
+                                                      T.StructField("__pos", T.IntegerType())])
+    walked = walked.mapInPandas(_walker(size, max_repeat, key="__gk"), walked_schema)
+    per_group = walked.groupBy("__g", "__s").agg((F.max("__seq") + 1).alias("__ncol"))
+    # one row per (group, shard): the prefix sum runs over a small table, and
+    # AQE broadcasts the offsets when their measured size allows
+    offs = per_group.select("__g", "__s", (F.sum("__ncol").over(Window.orderBy("__g", "__s"))
+                                           - F.col("__ncol")).alias("__off"))
+    return (walked.join(offs, ["__g", "__s"])
             .select((F.col("__off") + F.col("__seq") + 1).alias("collection_id"), "item_id", "rating",
                     F.col("__g").alias("group"), F.col("__pos").alias("position")))

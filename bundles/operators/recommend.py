@@ -156,7 +156,7 @@ def enrich(recs: DataFrame, products: DataFrame, images: DataFrame | None = None
     product row per item key (one left join per side, both de-duplicated)."""
     from .topn import first_per_key
     pcols = products.columns
-    prod = first_per_key(products.where(F.col(key_col).isNotNull()), [key_col], [F.asc(order_col)])
+    prod = first_per_key(products.where(F.col(key_col).isNotNull()), [key_col], [order_col])
     cat1 = F.col("cat_1")
     meta = prod.select(
         F.col(key_col).alias(I),
@@ -169,7 +169,7 @@ def enrich(recs: DataFrame, products: DataFrame, images: DataFrame | None = None
     )
     out = recs.join(meta, I, "left")
     if images is not None:
-        img = first_per_key(images.where(F.col(image_key).isNotNull()), [image_key], [F.asc(image_url)])
+        img = first_per_key(images.where(F.col(image_key).isNotNull()), [image_key], [image_url])
         out = (out.join(img.select(F.col(image_key).alias(I), F.col(image_url).alias("__img")), I, "left")
                .withColumn("image_url", F.coalesce("__img", "image_url")).drop("__img"))
     return out

@@ -53,7 +53,8 @@ def cumulative_cut(df: DataFrame, key: str, target: int) -> DataFrame:
     hist = hist.select("review_count", F.coalesce(F.sum("__tot").over(w), F.lit(0)).alias("__before"),
                        F.coalesce(F.sum("__np").over(w), F.lit(0)).alias("__pbefore"), "__np")
     live = hist.where(F.col("__before") < target)
-    cand = counts.join(F.broadcast(live), "review_count")
+    # one row per distinct count value (at most sqrt(2 * rows)); AQE decides the join side
+    cand = counts.join(live, "review_count")
     # rank inside the count bucket: global index over the surviving keys
     idx = global_index(cand, [F.desc("review_count"), F.asc(key)])
     j = F.col("idx") - F.col("__pbefore")
@@ -94,7 +95,7 @@ def exact_sample(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 42)
     w = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.select("__b", "__n", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"))
     live = hist.where(F.col("__before") < n)
-    cand = h.join(F.broadcast(live), "__b")
+    cand = h.join(F.broadcast(live), "__b")  # at most 65,536 rows
     whole = cand.where(F.col("__before") + F.col("__n") <= n)
     cross = cand.where(F.col("__before") + F.col("__n") > n)  # at most one bucket
     wb = Window.partitionBy("__b").orderBy("__h", *key_cols)

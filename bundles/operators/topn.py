@@ -40,6 +40,39 @@ def top_n(df: DataFrame, order_cols: Sequence[Column | str], n: int) -> DataFram
     return df.orderBy(*_cols(order_cols)).limit(n)
 
 
-def first_per_key(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[Column | str]) -> DataFrame:
-    """First row per key under an explicit order (``drop_duplicates(keep='first')``)."""
-    return top_n_per_group(df, key_cols, order_cols, 1, rank_col="__first").drop("__first")
+def _order_fields(spec):
+    """Encode one order item as struct fields whose ascending order is the wanted order.
+
+    ``spec``: a column name (ascending, nulls first, as Spark), or a tuple
+    ``(name_or_column, "asc" | "desc", nulls_last: bool | None)``.  Descending
+    order needs a numeric column (it is negated).
+    """
+    if isinstance(spec, (str, Column)):
+        spec = (spec, "asc", None)
+    col, direction, nulls_last = (tuple(spec) + (None,))[:3]
+    c = F.col(col) if isinstance(col, str) else col
+    desc = direction == "desc"
+    if nulls_last is None:
+        nulls_last = desc  # Spark's defaults: ASC NULLS FIRST, DESC NULLS LAST
+    value = -c if desc else c
+    flag = c.isNull() if nulls_last else c.isNotNull()
+    return [flag, value]
+
+
+def first_per_key(df: DataFrame, key_cols: Sequence[str], order_specs: Sequence) -> DataFrame:
+    """First row per key under an explicit order (``drop_duplicates(keep='first')``).
+
+    An aggregate, not a window: ``min_by(row, order)`` is combined map-side,
+    so a key holding a large share of the rows (copies) is reduced before
+    the shuffle.  Ties on the whole order are broken by the row itself.
+    """
+    others = [c for c in df.columns if c not in key_cols]
+    fields = []
+    for spec in order_specs:
+        fields += _order_fields(spec)
+    order = F.struct(*[f.alias(f"o{i}") for i, f in enumerate(fields)],
+                     F.struct(*others).alias("__row_tie")) if others else \
+        F.struct(*[f.alias(f"o{i}") for i, f in enumerate(fields)])
+    row = F.struct(*others) if others else F.lit(0)
+    out = df.groupBy(*key_cols).agg(F.min_by(row, order).alias("__first"))
+    return out.select(*key_cols, *([F.col(f"__first.{c}").alias(c) for c in others]))

@@ -149,7 +149,7 @@ def agg_depth_dist(spark, sf):
 , b as (select cast(least(floor((least(greatest(price, 0), 2000) - 0) / 2000 * 50), 49) as int) as bin
         from fx_products where price is not null)
 , allb as (select cast(range as int) as bin from range(50))
-select allb.bin, round(0 + allb.bin * 40.0, 6) as lo, round(0 + (allb.bin + 1) * 40.0, 6) as hi,
+select allb.bin, cast(round(0 + allb.bin * 40.0, 6) as double) as lo, cast(round(0 + (allb.bin + 1) * 40.0, 6) as double) as hi,
        cast(count(b.bin) as bigint) as n from allb left join b using (bin) group by 1""")
 def agg_histogram(spark, sf):
     p = fx.products(spark, sf).select(X.clip("price", 0, 2000).alias("price"))
@@ -183,7 +183,8 @@ def agg_schema_report(spark, sf):
 , c as (select parent_asin, count(*) as review_count from fx_reviews where parent_asin is not null group by 1)
 , s as (select *, sum(review_count) over (order by review_count desc, parent_asin rows unbounded preceding)
         as cumulative_reviews from c)
-select * from s where cumulative_reviews - review_count < 30000""")
+select parent_asin, review_count, cast(cumulative_reviews as bigint) as cumulative_reviews from s
+where cumulative_reviews - review_count < 30000""")
 def win_cumulative_cut(spark, sf):
     return S.cumulative_cut(fx.reviews(spark, sf), "parent_asin", 30000)
 
@@ -193,7 +194,7 @@ def win_cumulative_cut(spark, sf):
 , s as (select *, sum(review_count) over (order by review_count desc, parent_asin rows unbounded preceding)
         as cumulative_reviews from c)
 , k as (select * from s where cumulative_reviews - review_count < 30000)
-select count(*) as top_k, sum(review_count) as actual_reviews,
+select count(*) as top_k, cast(sum(review_count) as bigint) as actual_reviews,
        round(count(*) * 100.0 / (select count(*) from c), 6) as pct_products,
        round(sum(review_count) / count(*), 6) as mean_reviews,
        round(sum(review_count) * 100.0 / 30000, 6) as efficiency_pct from k""")
@@ -305,4 +306,4 @@ select collection_id, item_id, rating, order_key from (select *, row_number() ov
     partition by collection_id, item_id order by order_key, rating desc) as r from fx_collections) where r = 1""")
 def set_dedupe_key(spark, sf):
     c = fx.collections(spark, sf)
-    return first_per_key(c, ["collection_id", "item_id"], [F.asc("order_key"), F.desc("rating")])
+    return first_per_key(c, ["collection_id", "item_id"], [("order_key", "asc", True), ("rating", "desc")])

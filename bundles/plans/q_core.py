@@ -183,12 +183,12 @@ def flt_isin(spark, sf):
 
 
 @query("flt_isin_table", """
-select r.* from fx_reviews r where parent_asin in
+select user_id, parent_asin, order_id, line_no, rating from fx_reviews r where parent_asin in
     (select parent_asin from fx_reviews group by parent_asin having count(*) >= 35)""")
 def flt_isin_table(spark, sf):
     r = fx.reviews(spark, sf)
     keys = r.groupBy("parent_asin").count().where(F.col("count") >= 35).select("parent_asin")
-    return R.semi(r, keys, "parent_asin")
+    return R.semi(r, keys, "parent_asin").select("user_id", "parent_asin", "order_id", "line_no", "rating")
 
 
 @query("flt_not_isin", """
@@ -241,7 +241,8 @@ def flt_threshold_users(spark, sf):
 
 @query("flt_top_n_keys", """
 with top as (select parent_asin from fx_reviews group by 1 order by count(*) desc, parent_asin limit 10)
-select r.* from fx_reviews r join top using (parent_asin)""")
+select r.user_id, r.parent_asin, r.order_id, r.line_no, r.rating from fx_reviews r join top using (parent_asin)""")
 def flt_top_n_keys(spark, sf):
     r = fx.reviews(spark, sf)
-    return R.semi(r, F.broadcast(R.top_n_keys(r, "parent_asin", 10).select("parent_asin")), "parent_asin")
+    return (R.semi(r, F.broadcast(R.top_n_keys(r, "parent_asin", 10).select("parent_asin")), "parent_asin")
+            .select("user_id", "parent_asin", "order_id", "line_no", "rating"))

@@ -253,8 +253,8 @@ SEARCH_SPACE = {"rank": [4, 8, 16, 32], "reg": [0.001, 0.01, 0.1, 1.0], "max_ite
 def ml_search(spark, sf, trials: int = 15, seed: int = 42, k: int = 50):
     """Seeded random search over ALS settings maximising F1@k; one row per trial."""
     sp = split(spark, sf).cache()
-    tr = sp.where("split = 'train'")
-    users = _eval_users(sp)
+    tr = ML.Coded(sp.where("split = 'train'"))
+    users = _eval_users(sp).cache()
     rnd = random.Random(seed)
     out = None
     for t in range(trials):

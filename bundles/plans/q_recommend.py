@@ -47,7 +47,7 @@ def members(spark, sf):
 
 def first_item_baskets(m):
     """Hold-one-in baskets: the first item (by order key) of every collection."""
-    return (first_per_key(m, ["collection_id"], [F.asc("order_key"), F.asc("item_id")])
+    return (first_per_key(m, ["collection_id"], ["order_key", "item_id"])
             .select(F.col("collection_id").alias("basket_id"), "item_id"))
 
 
