@@ -23,7 +23,7 @@ from .stages import Stage, StageRunner
 
 JSON_COLS = ["rating", "title", "asin", "parent_asin", "user_id", "timestamp", "helpful_vote", "verified_purchase"]
 REVIEW_SCHEMA_EXT = T.StructType(RD.REVIEW_SCHEMA.fields + [T.StructField("order_id", T.LongType()),
-                                                              T.StructField("line_no", T.LongType())])
+                                                              T.StructField("line_no", T.IntegerType())])
 
 SQL_VALID = "select * from raw_reviews where not (order_id % 50 = 0 or (order_id % 50 = 1 and line_no = 1))"
 

@@ -64,7 +64,7 @@ select basket_id, item_id, cast(rank as int) as rank, round(score, 6) as score f
 where rank <= 5
 """)
 def q_rec_similarity(spark, sf):
-    m = members(spark, sf)
+    m = members(spark, sf).cache()  # read by the edges, the baskets and the catalog
     e = ed.similarity_edges(m, normalize=True)
     return _final_recs(rec.per_distinct_basket(rec.by_edges, first_item_baskets(m), e, m, n=5))
 
@@ -79,7 +79,7 @@ select rk.basket_id, rk.item_id, cast(rk.rank as int) as rank, round(rk.score, 6
 from rk left join meta on rk.item_id = meta.item_id
 """)
 def q_rec_enrich(spark, sf):
-    m = members(spark, sf)
+    m = members(spark, sf).cache()  # read by the edges, the baskets and the catalog
     e = ed.similarity_edges(m, normalize=True)
     recs = rec.per_distinct_basket(rec.by_edges, first_item_baskets(m), e, m, n=5)
     out = rec.enrich(recs, fx.products(spark, sf))

@@ -23,7 +23,7 @@ def docs(spark, sf):
 
 
 @query("txt_clean", f"""
-select doc_id, md5({D_CLEAN.format(x='text')}) as text_md5, length({D_CLEAN.format(x='text')}) as n_chars_clean
+select doc_id, md5({D_CLEAN.format(x='text')}) as text_md5, cast(length({D_CLEAN.format(x='text')}) as int) as n_chars_clean
 from documents""", fx=False)
 def txt_clean(spark, sf):
     c = X.clean_text("text")
@@ -37,7 +37,7 @@ def txt_norm(spark, sf):
 
 
 @query("txt_title_head", "select doc_id, md5(split_part(text, ',', 1)) as head_md5, "
-                         "length(split_part(text, ',', 1)) as head_len from documents", fx=False)
+                         "cast(length(split_part(text, ',', 1)) as int) as head_len from documents", fx=False)
 def txt_title_head(spark, sf):
     h = X.title_head("text")
     return docs(spark, sf).select("doc_id", F.md5(h).alias("head_md5"), F.length(h).alias("head_len"))
