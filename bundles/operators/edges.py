@@ -20,8 +20,9 @@ def basket_pairs(members: DataFrame, basket_col: str = "collection_id", item_col
     Baskets of at most ``block_size`` items take a plain self-join on the
     basket key.  Larger baskets are cut into hash blocks and joined on
     (basket, block_a, block_b), so a hot basket is spread over many tasks.
-    The table of large baskets is usually tiny (AQE broadcasts it after
-    measuring it).  Output: ``basket_col, item1, item2``.
+    A size check (one aggregate) decides whether the blocked branch is
+    needed at all; the table of large baskets is usually tiny (AQE
+    broadcasts it after measuring it).  Output: ``basket_col, item1, item2``.
     """
     m = members.select(basket_col, item_col).where(F.col(item_col).isNotNull())
     if not assume_distinct:
@@ -29,10 +30,15 @@ def basket_pairs(members: DataFrame, basket_col: str = "collection_id", item_col
     sizes = m.groupBy(basket_col).agg(F.count(F.lit(1)).alias("__n"))
     large = sizes.where(F.col("__n") > block_size).select(
         basket_col, F.ceil(F.col("__n") / F.lit(block_size)).cast("int").alias("__nb"))
-    small = m.join(large, basket_col, "left_anti")
-    plain = (small.select(basket_col, F.col(item_col).alias("item1"))
-             .join(small.select(basket_col, F.col(item_col).alias("item2")), basket_col)
-             .where(F.col("item1") != F.col("item2")))
+
+    def self_join(x):
+        return (x.select(basket_col, F.col(item_col).alias("item1"))
+                .join(x.select(basket_col, F.col(item_col).alias("item2")), basket_col)
+                .where(F.col("item1") != F.col("item2")))
+
+    if large.isEmpty():
+        return self_join(m)
+    plain = self_join(m.join(large, basket_col, "left_anti"))
     blk = (m.join(large, basket_col)
            .withColumn("__b", F.pmod(F.xxhash64(item_col), F.col("__nb")).cast("int")))
     left = blk.select(basket_col, F.col(item_col).alias("item1"), F.col("__b").alias("__b1"),

@@ -39,17 +39,25 @@ class Model:
         choice = mn.adaptive_support(self.txn)
         self.support, self.patterns = choice.support, choice.itemsets
         rules, _ = rules_at_choice(self.patterns, self.n)
-        self.rules = mn.one_per_antecedent(rules)
-        self.catalog = self.members.select("item_id").distinct()
+        self.rules = mn.one_per_antecedent(rules).cache()
+        self.catalog = self.members.select("item_id").distinct().cache()
+        self._memo = {}
+
+    def _keep(self, key, build):
+        """Edge tables are read by several strategies: build each once and cache it."""
+        if key not in self._memo:
+            self._memo[key] = build().cache()
+        return self._memo[key]
 
     def sim(self, normalize):
-        return ed.similarity_edges(self.members, normalize=normalize)
+        return self._keep(("sim", normalize),
+                          lambda: ed.similarity_edges(self.members, normalize=normalize, assume_distinct=True))
 
     def cooc(self, normalize):
-        return ed.cooccurrence_edges(self.patterns, normalize=normalize)
+        return self._keep(("cooc", normalize), lambda: ed.cooccurrence_edges(self.patterns, normalize=normalize))
 
     def ranked_pop(self):
-        return ed.rank_popularity(ed.popularity(self.patterns))
+        return self._keep("pop", lambda: ed.rank_popularity(ed.popularity(self.patterns)))
 
 
 def collection_cascade(md, baskets, n=N_CASCADE):

@@ -282,7 +282,7 @@ SQL_SIM_RAW = """
 select item1, item2, weight as count, round(weight / sum(weight) over (partition by item1), 6) as weight from sim_raw""")
 def job_similarity_edges(spark, sf):
     m = members(spark, sf)
-    raw = ed.similarity_edges(m, normalize=False).withColumnRenamed("weight", "count")
+    raw = ed.similarity_edges(m, normalize=False, assume_distinct=True).withColumnRenamed("weight", "count")
     norm = ed.row_normalize(raw.withColumn("weight", F.col("count")))
     return norm.select("item1", "item2", "count", F.round("weight", 6).alias("weight"))
 
@@ -291,7 +291,7 @@ def job_similarity_edges(spark, sf):
 select item1, round(sum(w), 6) as row_sum, count(*) as n_edges from (
     select item1, weight / sum(weight) over (partition by item1) as w from sim_raw) group by 1""")
 def win_row_norm(spark, sf):
-    e = ed.similarity_edges(members(spark, sf), normalize=True)
+    e = ed.similarity_edges(members(spark, sf), normalize=True, assume_distinct=True)
     return e.groupBy("item1").agg(F.round(F.sum("weight"), 6).alias("row_sum"), F.count(F.lit(1)).alias("n_edges"))
 
 

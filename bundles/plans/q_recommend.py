@@ -65,8 +65,8 @@ where rank <= 5
 """)
 def q_rec_similarity(spark, sf):
     m = members(spark, sf).cache()  # read by the edges, the baskets and the catalog
-    e = ed.similarity_edges(m, normalize=True)
-    return _final_recs(rec.per_distinct_basket(rec.by_edges, first_item_baskets(m), e, m, n=5))
+    e = ed.similarity_edges(m, normalize=True, assume_distinct=True).cache()
+    return _final_recs(rec.per_distinct_basket(rec.by_edges, first_item_baskets(m).cache(), e, m, n=5))
 
 
 @query("rec_enrich", SQL_MEMBERS + SQL_SIM + SQL_FIRST_ITEM_BASKETS + SQL_PRODUCT_META + """
@@ -80,8 +80,8 @@ from rk left join meta on rk.item_id = meta.item_id
 """)
 def q_rec_enrich(spark, sf):
     m = members(spark, sf).cache()  # read by the edges, the baskets and the catalog
-    e = ed.similarity_edges(m, normalize=True)
-    recs = rec.per_distinct_basket(rec.by_edges, first_item_baskets(m), e, m, n=5)
+    e = ed.similarity_edges(m, normalize=True, assume_distinct=True).cache()
+    recs = rec.per_distinct_basket(rec.by_edges, first_item_baskets(m).cache(), e, m, n=5)
     out = rec.enrich(recs, fx.products(spark, sf))
     return out.select("basket_id", "item_id", F.col("rank").cast("int").alias("rank"),
                       F.round("score", 6).alias("score"), "price", "title", "category", "image_url")
