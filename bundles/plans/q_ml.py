@@ -225,6 +225,28 @@ def ml_ease(spark, sf):
     return _model_metrics("ease", top, rel_sp)
 
 
+@query("ml_ease_gram", """
+, tr_e as (select * from (
+    select user_id, item_id, value, case when cast(('0x' || substr(md5(concat('42|', user_id, '|', item_id)), 1, 8)) as bigint)
+        / 4294967296.0 < 0.2 then 'test' else 'train' end as split
+    from (select user_id, item_id, max(value) as value from (
+        select cast(user_id as varchar) as user_id, cast(parent_asin as varchar) as item_id,
+               cast((coalesce(cast(verified_purchase as int), 0) = 1 or coalesce(helpful_vote, 0) > 0) as float) as value
+        from fx_reviews) group by 1, 2)) where split = 'train')
+, x as (select distinct t.user_id, t.item_id, concat(i.cat_2, '#0') as block from tr_e t
+        join (select distinct cast(parent_asin as varchar) as item_id, cat_2 from fx_products where cat_2 is not null) i
+        using (item_id) where t.value > 0)
+select a.block, a.item_id as item1, b.item_id as item2, cast(count(*) as double) as g
+from x a join x b on a.user_id = b.user_id and a.block = b.block and a.item_id <> b.item_id group by 1, 2, 3
+union all select block, item_id, item_id, cast(count(*) as double) from x group by 1, 2, 3""")
+def ml_ease_gram(spark, sf):
+    """The Gram step of EASE (per item block), which has an exact SQL form."""
+    sp = ratio_split(triplets(fx.reviews(spark, sf), "ease"), 0.2, 42, exclude_unknowns=False)
+    tr = sp.where("split = 'train'")
+    blocks = items_table(spark, sf).select("item_id", F.col("cat_2").alias("block")).where("block is not null")
+    return ML.ease_gram(tr, blocks)
+
+
 @query("ml_bpr")
 def ml_bpr(spark, sf):
     sp = ratio_split(triplets(fx.reviews(spark, sf), "bpr"), 0.2, 42)
