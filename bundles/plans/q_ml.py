@@ -198,7 +198,7 @@ def _eval_users(sp):
 
 @query("ml_mf")
 def ml_mf(spark, sf):
-    sp = split(spark, sf)
+    sp = split(spark, sf).cache()
     tr = sp.where("split = 'train'")
     top = ML.als_topk(tr, _eval_users(sp), K, implicit=False, rank=8, reg=0.1, max_iter=10, exclude_seen=True)
     return _model_metrics("mf", top, sp)
@@ -206,9 +206,9 @@ def ml_mf(spark, sf):
 
 @query("ml_wmf")
 def ml_wmf(spark, sf):
-    sp = ratio_split(triplets(fx.reviews(spark, sf), "wmf"), 0.2, 42)
+    sp = ratio_split(triplets(fx.reviews(spark, sf), "wmf"), 0.2, 42).cache()
     tr = sp.where("split = 'train'")
-    rel_sp = split(spark, sf)
+    rel_sp = split(spark, sf).cache()
     top = ML.als_topk(tr, _eval_users(rel_sp), K, implicit=True, rank=8, reg=0.1, max_iter=10, alpha=5.0,
                       exclude_seen=True)
     return _model_metrics("wmf", top, rel_sp)
@@ -216,11 +216,11 @@ def ml_wmf(spark, sf):
 
 @query("ml_ease")
 def ml_ease(spark, sf):
-    sp = ratio_split(triplets(fx.reviews(spark, sf), "ease"), 0.2, 42)
+    sp = ratio_split(triplets(fx.reviews(spark, sf), "ease"), 0.2, 42).cache()
     tr = sp.where("split = 'train'")
     blocks = items_table(spark, sf).select("item_id", F.col("cat_2").alias("block")).where("block is not null")
-    w = ML.ease_weights(tr, blocks, lam=100.0)
-    rel_sp = split(spark, sf)
+    w = ML.ease_weights(tr, blocks, lam=100.0).cache()
+    rel_sp = split(spark, sf).cache()
     top = ML.ease_topk(tr, w, _eval_users(rel_sp), K)
     return _model_metrics("ease", top, rel_sp)
 
@@ -249,10 +249,10 @@ def ml_ease_gram(spark, sf):
 
 @query("ml_bpr")
 def ml_bpr(spark, sf):
-    sp = ratio_split(triplets(fx.reviews(spark, sf), "bpr"), 0.2, 42)
+    sp = ratio_split(triplets(fx.reviews(spark, sf), "bpr"), 0.2, 42).cache()
     tr = sp.where("split = 'train'")
     uf, vf = ML.bpr_fit(tr, k=8, epochs=4)
-    rel_sp = split(spark, sf)
+    rel_sp = split(spark, sf).cache()
     top = ML.factor_topk(uf, vf, _eval_users(rel_sp), K, train=tr)
     return _model_metrics("bpr", top, rel_sp)
 
@@ -260,7 +260,7 @@ def ml_bpr(spark, sf):
 @query("ml_topk")
 def ml_topk(spark, sf):
     """Top-k for 100 sampled users from the explicit model; seen items are kept (as the reference)."""
-    sp = split(spark, sf)
+    sp = split(spark, sf).cache()
     tr = sp.where("split = 'train'")
     users = exact_sample(tr.select("user_id").distinct(), 100, ["user_id"], seed=7)
     top = ML.als_topk(tr, users, K, implicit=False, rank=8, reg=0.1, max_iter=10)
