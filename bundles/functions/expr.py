@@ -22,9 +22,13 @@ def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+# The whitespace class stripped at both ends (Java regex ``\s``).
+WHITESPACE = " \t\n\u000b\f\r"
+
+
 def strip(c) -> Column:
     """Python ``str.strip()``: drop surrounding whitespace (not only blanks)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def norm(c) -> Column:
