@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, packing, secrets
 from .common import Scratch, table
 
 QUERIES: dict = {}
@@ -39,3 +39,15 @@ def op2_packing(spark, sf_dir):
     rest = pieces.where("length < 2048").count()
     return packing.pack(pieces, packing.group_count(rest)).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op3_secrets(spark, sf_dir):
+    """All secret spans of every whole text."""
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(secrets.spans_text(F.col("base_spans")), 256).alias("base_sha256"),
+                        secrets.spans_text(F.col("secret_spans")).alias("spans"))
