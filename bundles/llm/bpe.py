@@ -41,7 +41,7 @@ class BacktrackingBpe:
         self.size = {i: len(t) for t, i in self.rank.items()}
         self.starts = ahocorasick.Automaton()
         for t, i in self.rank.items():
-            self.starts.add_word(t[::-1].decode("latin-1"), (len(t), i))
+            self.starts.add_word(t[::-1].decode("latin-1"), len(t) << 32 | i)  # compares by length
         self.starts.make_automaton()
         self.shorter: dict[int, int] = {}
         self.fits: dict[tuple[int, int], bool] = {}
@@ -81,20 +81,21 @@ class BacktrackingBpe:
         if whole is not None:
             return [whole]
         n = len(piece)
-        longest = [(0, -1)] * n
+        longest = [0] * n  # by distance from the end
         for end, match in self.starts.iter(piece[::-1].decode("latin-1")):
-            if match > longest[n - 1 - end]:
-                longest[n - 1 - end] = match
+            if match > longest[end]:
+                longest[end] = match
         out: list[int] = []
         dead: set[int] = set()
-        at, t = 0, longest[0][1] if n else -1
+        size, fits = self.size, self.fits
+        at, t = 0, longest[n - 1] & 0xFFFFFFFF if n else -1
         while at < n:
-            end = at + self.size[t]
-            if end not in dead and (not out or self.compatible(out[-1], t)):
+            end = at + size[t]
+            if end not in dead and (not out or fits.get((out[-1], t)) or self.compatible(out[-1], t)):
                 out.append(t)
                 at = end
                 if at < n:
-                    t = longest[at][1]
+                    t = longest[n - 1 - at] & 0xFFFFFFFF
                 continue
             t = self.next_shorter(t)
             while t < 0:

@@ -15,13 +15,17 @@ import pyarrow as pa
 #: Ids of one part are kept as little-endian uint32 bytes.
 ID = np.dtype("<u4")
 #: Parts kept per worker; the table is emptied when full.  Bounds memory only, never the result.
-MAX_PARTS = 400_000
+MAX_PARTS = 1_000_000
 #: Longer parts are encoded but not kept.
 MAX_KEPT = 64
 
 
 class PartEncoder:
-    """``encode(text) -> bytes of ids``.  ``backend(list of strings) -> list of id bytes``."""
+    """``encode(text) -> bytes of ids``.
+
+    ``backend(list of strings) -> list of id bytes`` gets one string, or
+    several that each start at a safe space, so that it may join them.
+    """
 
     def __init__(self, backend):
         self.backend = backend
