@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, packing, secrets
+from . import bpe, langid, packing, secrets, urls, warc
 from .common import Scratch, table
 
 QUERIES: dict = {}
@@ -51,3 +51,23 @@ def op3_secrets(spark, sf_dir):
 
     return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(secrets.spans_text(F.col("base_spans")), 256).alias("base_sha256"),
                         secrets.spans_text(F.col("secret_spans")).alias("spans"))
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    """Predict every document's language from the folds that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
+    model = langid.train(docs.where("not held_out"), public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query
+def op9_warc(spark, sf_dir):
+    """Archive every page, then read the archives back."""
+    return warc.archive(table(spark, sf_dir, "pages"))[0].select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op10_url_filter(spark, sf_dir):
+    """Judge every page's url."""
+    return urls.filter_urls(table(spark, sf_dir, "pages"))
