@@ -92,8 +92,8 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
                  .agg(F.min("component").alias("heard")))
         step = scratch.write(label.join(heard, "node", "left")
                              .select("node", F.least("component", "heard").alias("component"), F.col("component").alias("was")), "step")
-        far = step.select(F.col("node").alias("to"), F.col("component").alias("far"))
-        new = scratch.write(step.join(far, step.component == far.to, "left")
+        far = step.select(F.col("node").alias("at"), F.col("component").alias("far"))
+        new = scratch.write(step.join(far, step.component == far.at, "left")
                             .select("node", F.least("component", "far").alias("component"), "was"), "label")
         scratch.drop(label, step)
         label = new

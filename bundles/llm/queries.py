@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, secrets, urls, warc
+from . import bpe, jaccard, langid, packing, secrets, urls, warc
 from .common import Scratch, table
 
 QUERIES: dict = {}
@@ -71,3 +71,9 @@ def op9_warc(spark, sf_dir):
 def op10_url_filter(spark, sf_dir):
     """Judge every page's url."""
     return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_ngram_jaccard(spark, sf_dir):
+    """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
