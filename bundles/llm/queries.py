@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, packing, secrets, urls, warc
+from . import bpe, jaccard, langid, packing, secrets, suffix, urls, warc
 from .common import Scratch, table
 
 QUERIES: dict = {}
@@ -77,3 +77,13 @@ def op10_url_filter(spark, sf_dir):
 def op8_ngram_jaccard(spark, sf_dir):
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    """Remove every byte covered by a 200-byte string that also starts elsewhere."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix.remove_repeats(docs, length=200)
+    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return out.select("doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.length("kept")).alias("n_removed"),
+                      F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
