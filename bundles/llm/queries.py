@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, packing, secrets, suffix, urls, warc
+from . import bpe, hnsw, jaccard, langid, packing, secrets, suffix, urls, vectors, warc
 from .common import Scratch, table
 
 QUERIES: dict = {}
@@ -87,3 +87,15 @@ def op6_suffix_dedup(spark, sf_dir):
     n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
     return out.select("doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.length("kept")).alias("n_removed"),
                       F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op4_vector_near_dups(spark, sf_dir):
+    """Links and components of all embeddings with a cosine of 0.95 or more."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+@query
+def op5_hnsw(spark, sf_dir):
+    """The 20 nearest of every embedding whose vec_id is divisible by 20."""
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
