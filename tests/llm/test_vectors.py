@@ -101,14 +101,14 @@ def test_op5_edges(spark):
     assert hnsw.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_graph_recall():
-    rng = np.random.default_rng(9)
-    x = rng.standard_normal((4000, 64)).astype(np.float32) * rng.uniform(0.5, 2, (4000, 1)).astype(np.float32)
-    g = hnsw.build_graph(x)
-    hits = 0
-    for q in rng.standard_normal((60, 64)).astype(np.float32):
-        s = x @ q
-        found = hnsw.search(g, x, q)
-        top = found[np.argsort(-s[found])[:20]]
-        hits += len(set(top.tolist()) & set(np.argsort(-s)[:20].tolist()))
-    assert hits / 1200 > 0.9
+def test_graph_recall(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    x = np.array([r.embedding for r in rows], np.float32)
+    scaled = x * np.random.default_rng(9).uniform(0.8, 1.2, (len(x), 1)).astype(np.float32)
+    for data in (x, scaled):
+        g, hits = hnsw.build_graph(data), 0
+        for q in x[:100]:
+            s = data @ q
+            found = hnsw.search(g, data, q)
+            hits += len(set(found[np.argsort(-s[found])[:20]].tolist()) & set(np.argsort(-s)[:20].tolist()))
+        assert hits / 2000 > 0.95
