@@ -28,7 +28,7 @@ from .common import append_columns
 from .tokens import ID, PartEncoder, id_lists
 
 #: Pairs and words kept per worker; bounds memory only.
-MAX_PAIRS, MAX_WORDS = 1_000_000, 300_000
+MAX_PARTS, MAX_PAIRS, MAX_WORDS = 600_000, 300_000, 200_000
 
 
 class BacktrackingBpe:
@@ -120,7 +120,7 @@ def _coder(path: str, pattern: str) -> tuple[BacktrackingBpe, PartEncoder]:
                 words[w] = got
         return got
 
-    return bpe, PartEncoder(lambda texts: [b"".join(map(word, split.findall(t))) for t in texts])
+    return bpe, PartEncoder(lambda texts: [b"".join(map(word, split.findall(t))) for t in texts], MAX_PARTS)
 
 
 def encode_bpe(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -143,7 +143,8 @@ def decode_bpe(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: st
     """``df`` plus ``out`` binary: the bytes of the ids, joined.  A null list gives empty bytes."""
     def run(lists: pa.Array) -> list[pa.Array]:
         token = _coder(path, pattern)[0].token
-        values, ends = lists.values.to_numpy().tolist(), lists.offsets.to_numpy()
+        ends = lists.offsets.to_numpy()
+        values, ends = lists.values[int(ends[0]):int(ends[-1])].to_pylist(), ends - ends[0]
         return [pa.array([b"".join(map(token.__getitem__, values[a:b])) for a, b in zip(ends[:-1], ends[1:])], pa.binary())]
 
     return append_columns(df, [ids], [T.StructField(out, T.BinaryType())], run)

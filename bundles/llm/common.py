@@ -38,7 +38,7 @@ def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField]
     schema = T.StructType([base.schema[c] for c in keep] + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b for whole in batches for b in slices(whole)):
             made = fn(*[b.column(b.schema.get_field_index(c)) for c in inputs])
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index(c)) for c in keep] + made, names=schema.names)
@@ -46,6 +46,12 @@ def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField]
     return base.mapInArrow(run, schema)
 
 
+def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of so many rows, so that only a part at a time becomes Python objects."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 class Scratch:
     """Tables written to the shared folder; ``drop()`` removes those no result reads any more."""
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, components
+from .common import Scratch, components, slices
 
 #: Leaders that each class is compared with first.
 LEADER_KEYS = 4
@@ -33,9 +33,9 @@ COMMON_SHARE = 0.002
 #: Tokens of a group part, on average; bounds the union that stands for it.
 PART_TOKENS = 16_384
 #: Tokens that a task counts at a time when it looks for common ones.
-COUNT_AT_ONCE = 4_000_000
+COUNT_AT_ONCE = 1_000_000
 #: Hashed words kept per worker; bounds memory only.
-MAX_WORDS = 1_000_000
+MAX_WORDS = 250_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _words: dict[bytes, int] = {}
@@ -84,8 +84,17 @@ def shared_least(n: int, percent: int) -> int:
     return 1 + n * (100 - percent) // 400
 
 
+def among(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which values of ``a`` are in the sorted ``b``."""
+    if not len(b):
+        return np.zeros(len(a), bool)
+    return b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = int(among(a, b).sum())
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
@@ -104,7 +113,7 @@ def _common_tokens(docs: DataFrame, width: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often])], names=["token", "n"])
 
         sets, size = [], 0
-        for b in batches:
+        for b in (b for whole in batches for b in slices(whole)):
             for t in b.column(0).to_pylist():
                 sets.append(shingle_set(t, width))
                 size += len(sets[-1])
@@ -126,13 +135,13 @@ def _signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) -
 
     def run(batches):
         late = held.value
-        for b in batches:
+        for b in (b for whole in batches for b in slices(whole)):
             keys, n, s1, s2, prefix = [], [], [], [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = shingle_set(t, width)
                 x, y = signature(s) if len(s) else (0, 0)
                 if len(late):
-                    s = np.concatenate([s[(is_late := np.isin(s, late)) ^ True], s[is_late]])
+                    s = np.concatenate([s[~(is_late := among(s, late))], s[is_late]])
                 take = len(s) - least_overlap(len(s), percent) + shared_least(len(s), percent) if len(s) else 0
                 keys.append(k)
                 n.append(len(s))
@@ -149,19 +158,21 @@ def _signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) -
 def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The rows of ``pairs(a, b)`` whose texts are linked; both texts come by plain joins, which split hot keys."""
     def run(batches):
-        seen: dict[int, np.ndarray] = {}
-        for batch in batches:
-            a, b = batch.column(0), batch.column(1)
-            keep = []
-            for i, (y, t, u) in enumerate(zip(b.to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                if y not in seen:
-                    if len(seen) >= 64:
-                        seen.clear()
-                    seen[y] = shingle_set(u, width)
-                if linked(shingle_set(t, width), seen[y], percent):
-                    keep.append(i)
-            keep = pa.array(keep, pa.int32())
-            yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], names=["a", "b"])
+        last, last_set, seen = None, None, {}
+        for whole in batches:
+            for batch in slices(whole):
+                keep = []
+                for i, (x, y, t, u) in enumerate(zip(*[batch.column(c).to_pylist() for c in range(4)])):
+                    if x != last:
+                        last, last_set = x, shingle_set(t, width)
+                    if y not in seen:
+                        if len(seen) >= 64:
+                            seen.clear()
+                        seen[y] = shingle_set(u, width)
+                    if linked(last_set, seen[y], percent):
+                        keep.append(i)
+                keep = pa.array(keep, pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
 
     left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
@@ -235,11 +246,11 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
                            .applyInPandas(union, "component long, part long, tokens binary"), "unions")
 
     def bound(batches):
-        for b in batches:
+        for b in (b for whole in batches for b in slices(whole, 100)):
             keep = []
             for i, (t, u) in enumerate(zip(b.column(3).to_pylist(), b.column(4).to_pylist())):
                 s, u = shingle_set(t, width), np.frombuffer(u, np.uint64)
-                if len(np.intersect1d(s, u, assume_unique=True)) >= least_overlap(len(s), percent):
+                if among(s, u).sum() >= least_overlap(len(s), percent):
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([b.column(i).take(pa.array(keep, pa.int32())) for i in range(3)], names=["cls", "component", "part"])
 

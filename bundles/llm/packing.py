@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
 from .tokens import ID, PartEncoder
 
 #: Pieces per first-fit group, on average; a parameter of ``pack``.
@@ -58,7 +59,7 @@ def token_pieces(df: DataFrame, tokenizer: str, seq_len: int = 2048, end_id: int
 
     def run(batches):
         encode, step = _encoder(tokenizer).encode, seq_len * 4
-        for b in batches:
+        for b in (b for whole in batches for b in slices(whole)):
             keys, start, total, ids = [], [], [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = encode(t or "") + end

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch
+from .common import Scratch, slices
 
 #: Bytes of the seed rank; a power of two.
 SEED = 32
@@ -90,7 +90,7 @@ def _all_runs(data: bytes, length: int):
 
 def _emit_runs(length: int):
     def run(batches):
-        for b in batches:
+        for b in (b for whole in batches for b in slices(whole)):
             cols = [[] for _ in range(6)]
             for k1, k2, text in zip(*[b.column(i).to_pylist() for i in range(3)]):
                 for made in _all_runs((text or "").encode(), length):
@@ -108,7 +108,7 @@ def _cut(length: int):
     names = ["k1", "k2", "first", "seed", "run", "m", "d"]
 
     def run(batches):
-        for b in batches:
+        for b in (b for whole in batches for b in slices(whole)):
             cols, data = [[] for _ in names], []
             for k1, k2, text, held in zip(*[b.column(i).to_pylist() for i in range(4)]):
                 raw = text.encode()
@@ -154,8 +154,8 @@ def _compare_together(length: int):
 
     def run(batches):
         rows, size = [], 0
-        for batch in batches:
-            for r in batch.to_pylist():
+        for part in (part for whole in batches for part in slices(whole)):
+            for r in part.to_pylist():
                 if size > 4 << 20 and r["seed"] != rows[-1]["seed"]:
                     if (out := told(rows)) is not None:
                         yield out
@@ -244,7 +244,7 @@ def remove_repeats(df: DataFrame, length: int = 200, text: str = "text", key: st
     scratch.drop(whole, cut, kinds, twice)
 
     def cut_out(batches):
-        for b in batches:
+        for b in (b for whole in batches for b in slices(whole)):
             at = b.schema.get_field_index
             made, kept = [], []
             for raw, own in zip(b.column(at("text__")).to_pylist(), b.column(at("spans__")).to_pylist()):

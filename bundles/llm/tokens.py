@@ -27,8 +27,8 @@ class PartEncoder:
     several that each start at a safe space, so that it may join them.
     """
 
-    def __init__(self, backend):
-        self.backend = backend
+    def __init__(self, backend, max_parts: int = MAX_PARTS):
+        self.backend, self.max_parts = backend, max_parts
         self.rest: dict[str, bytes | None] = {}  # parts after a space, without it; None: encode the text whole
 
     def _fill(self, parts: list[str]) -> dict[str, bytes | None]:
@@ -40,7 +40,7 @@ class PartEncoder:
                 else:
                     new.append(p)
         own.update(zip(new, self.backend([" " + p for p in new])))
-        if len(self.rest) + len(own) > MAX_PARTS:
+        if len(self.rest) + len(own) > self.max_parts:
             own.update((p, self.rest[p]) for p in set(parts) if p in self.rest)
             self.rest.clear()
         self.rest.update((p, v) for p, v in own.items() if len(p) <= MAX_KEPT)
