@@ -72,8 +72,9 @@ def runs(data: np.ndarray, length: int):
 
 #: A text is ranked in stretches of so many windows; runs are cut there, which costs window ranks but no result.
 STRETCH = 4 << 20
-#: Seeds with up to so many different runs are compared in one task; larger ones window by window in Spark.
-TOGETHER = 256
+#: Seeds with up to so many different runs are compared in one task, as their bytes; the windows of larger ones are
+#: counted in Spark.  Few, so that what a task gathers of one passage is bounded and both ways grow with the input.
+TOGETHER = 8
 
 RUN = "k1 long, k2 int, first long, last long, seed long, run long"
 
