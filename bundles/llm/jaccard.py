@@ -4,11 +4,12 @@ Documents become sets of word shingles (64-bit hashes).  Equal sets fold into
 one class.  Similar classes are first gathered into groups: each class is
 compared with one randomly chosen leader per key, the keys being its first
 tokens in a global order, and verified links make the groups.  What is left
-are pairs of classes in different groups.  For these, a group's token union
-stands for its members: a class meets another group only if it shares enough
-tokens of its prefix with it, the overlap with the union of each (bounded) part
-of the group bounds the similarity to every member, and only parts that the
-bound lets through are opened and compared member by member.
+are pairs of classes in different groups.  Groups are kept in parts of bounded
+size, each with its token union.  A class meets a part only if that holds
+enough tokens of its prefix (the token-group matrix); two parts that meet are
+held against each other as blocks: a class's overlap with the other part's
+union bounds its similarity to every member, and only where the bound lets it
+through is the part opened and compared member by member.
 
 Prefixes: in any global token order, two sets with Jaccard >= t share at least
 k of their first n - ceil(t*n) + k tokens.  The order is by hash, with tokens
@@ -98,6 +99,33 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _unpacked(ids: bytes, ends: bytes, tokens: bytes) -> tuple[list[int], list[np.ndarray]]:
+    return np.frombuffer(ids, np.int64).tolist(), np.split(np.frombuffer(tokens, np.uint64), np.frombuffer(ends, np.int64)[:-1])
+
+
+def _links(a: list[int], x: list[np.ndarray], b: list[int], y: list[np.ndarray], percent: int, same: bool) -> list[tuple[int, int]]:
+    """Links between two parts: a set is held against the other part's union first, against its members only if that lets it through.
+
+    A member that is linked to the set's component already, by links found here, is not compared again.
+    """
+    union, root, out = np.unique(np.concatenate(y)), {}, []
+
+    def find(k: int) -> int:
+        while root.setdefault(k, k) != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for i, (k, s) in enumerate(zip(a, x)):
+        if among(s, union).sum() < least_overlap(len(s), percent):
+            continue
+        for j in range(i + 1 if same else 0, len(b)):
+            if find(k) != find(b[j]) and linked(s, y[j], percent):
+                root[find(k)] = find(b[j])
+                out.append((k, b[j]))
+    return out
+
+
 def _common_tokens(docs: DataFrame, width: int) -> np.ndarray:
     """Tokens in at least ``COMMON_SHARE`` of all documents.
 
@@ -219,46 +247,56 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     sets = scratch.write(sets.join(grouped.select(F.col("node").alias("cls"), "component"), "cls", "left")
                          .withColumn("component", F.coalesce("component", "cls")), "grouped")
 
-    # tokens that classes of different groups share, and the groups that a class shares enough of them with
-    index = sets.select("cls", "n", "component", F.explode("prefix").alias("token"))
-    shared = scratch.write(index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                           .where("low < high").select("token"), "shared")
+    # parts of groups, of bounded size: classes of one group, or of no group but with the same first token
+    sizes = sets.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    named = sets.join(scratch.write(sizes, "sizes"), "component").select("cls", "n", "prefix", F.when(F.col("members") > 1, F.col("component")).alias("group"))
+    named = scratch.write(named.withColumn("about", F.xxhash64(F.coalesce("group", F.get("prefix", F.lit(0))), F.col("group").isNull())), "named")
+    many = scratch.write(named.groupBy("about").agg(F.ceil(F.sum("n") / PART_TOKENS).alias("parts"), (F.count(F.lit(1)) == 1).alias("alone")), "parts")
+    named = scratch.write(named.join(many, "about").withColumn("part", F.xxhash64("about", F.pmod(F.xxhash64("cls"), F.col("parts")))), "placed")
+
+    # the matrix: tokens that several classes share, and the parts that hold them
+    index = named.select("cls", "n", "group", "part", "alone", F.explode("prefix").alias("token"))
+    shared = scratch.write(index.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high"),
+                                                      F.min(F.coalesce("group", F.lit(-1))).alias("g"), F.max(F.coalesce("group", F.lit(-1))).alias("h"))
+                           .where("low < high and (g < h or g = -1)").select("token"), "shared")
     index = scratch.write(index.join(shared, "token", "left_semi"), "index")
-    groups = scratch.write(index.select("token", F.col("component").alias("other")).distinct(), "matrix")
-    met = index.join(groups, "token").where("component > other").groupBy("cls", "n", "other").agg(F.count(F.lit(1)).alias("m"))
-    met = scratch.write(met.where(F.col("m") >= 1 + F.floor(F.ceil(F.col("n") * percent / 100) * (100 - percent) / 400)).select("cls", "other"), "met")
-    scratch.drop(index, groups, shared)
-
-    # parts of the groups that are met, their unions, the bound, and the members of what it lets through
-    wanted = met.select(F.col("other").alias("component")).distinct()
-    inner = sets.select("cls", "n", "component").join(wanted, "component", "left_semi")
-    parts = scratch.write(inner.groupBy("component").agg(F.ceil(F.sum("n") / PART_TOKENS).alias("parts")), "parts")
-    member = scratch.write(inner.join(parts, "component").select(
-        "cls", "component", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part")), "members")
-
-    texts = texts_of(met.select(F.col("cls").alias("id")).union(member.select("cls")), "met_texts")
-
-    def union(rows: pd.DataFrame) -> pd.DataFrame:
-        tokens = np.unique(np.concatenate([shingle_set(t, width) for t in rows["text"]]))
-        return pd.DataFrame({"component": rows["component"].iloc[:1], "part": rows["part"].iloc[:1], "tokens": [tokens.tobytes()]})
-
-    unions = scratch.write(member.join(texts, member.cls == texts.doc_id).groupBy("component", "part")
-                           .applyInPandas(union, "component long, part long, tokens binary"), "unions")
-
-    def bound(batches):
-        for b in (b for whole in batches for b in slices(whole, 100)):
-            keep = []
-            for i, (t, u) in enumerate(zip(b.column(3).to_pylist(), b.column(4).to_pylist())):
-                s, u = shingle_set(t, width), np.frombuffer(u, np.uint64)
-                if among(s, u).sum() >= least_overlap(len(s), percent):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([b.column(i).take(pa.array(keep, pa.int32())) for i in range(3)], names=["cls", "component", "part"])
-
-    asked = met.join(texts.withColumnRenamed("doc_id", "cls"), "cls").withColumnRenamed("other", "component").join(unions, "component")
-    opened = scratch.write(asked.select("cls", "component", "part", "text", "tokens").mapInArrow(bound, "cls long, component long, part long"), "opened")
-    pairs = opened.join(member.withColumnRenamed("cls", "b"), ["component", "part"]).select(F.col("cls").alias("a"), "b")
-    more = scratch.write(_verify(pairs, texts, width, percent), "more")
-    scratch.drop(unions, opened, sets, leaders, first)
+    matrix = scratch.write(index.select("token", F.col("part").alias("other"), F.col("group").alias("others")).distinct(), "matrix")
+    # a class meets a part that holds enough of its prefix; links inside a group are known already
+    met = index.join(matrix, "token").where("group is null or others is null or group <> others").where("not alone or part <> other")
+    met = met.groupBy("cls", "n", "part", "other").agg(F.count(F.lit(1)).alias("m"))
+    met = met.where(F.col("m") >= 1 + F.floor(F.ceil(F.col("n") * percent / 100) * (100 - percent) / 400))
+    met = scratch.write(met.select(F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q")).distinct(), "met")
+    scratch.drop(index, matrix, shared)
+
+    # the sets and the token union of every part that is met; a part is held against another as a whole
+    asked = met.select(F.explode(F.array("p", "q")).alias("part")).distinct()
+    member = scratch.write(named.join(asked, "part", "left_semi").select("cls", "part"), "members")
+    texts = texts_of(member.select(F.col("cls").alias("id")), "met_texts")
+
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("cls")
+        own = [shingle_set(t, width) for t in rows["text"]]
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "ids": [rows["cls"].to_numpy(np.int64).tobytes()],
+                             "ends": [np.cumsum([len(s) for s in own]).astype(np.int64).tobytes()], "tokens": [np.concatenate(own).tobytes()]})
+
+    blocks = "part long, ids binary, ends binary, tokens binary"
+    parts = scratch.write(member.join(texts, member.cls == texts.doc_id).groupBy("part").applyInPandas(gather, blocks), "blocks")
+
+    def hold(batches):
+        for b in (b for whole in batches for b in slices(whole, 16)):
+            found = []
+            for r in b.to_pylist():
+                a, x = _unpacked(r["ids"], r["ends"], r["tokens"])
+                if r["p"] == r["q"]:
+                    found += _links(a, x, a, x, percent, True)
+                else:
+                    found += _links(a, x, *_unpacked(r["ids2"], r["ends2"], r["tokens2"]), percent, False)
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    second = parts.select(F.col("part").alias("q"), F.col("ids").alias("ids2"), F.col("ends").alias("ends2"), F.col("tokens").alias("tokens2"))
+    pairs = met.join(parts.withColumnRenamed("part", "p"), "p").join(second, "q")
+    more = scratch.write(pairs.select("p", "q", "ids", "ends", "tokens", "ids2", "ends2", "tokens2").mapInArrow(hold, "a long, b long"), "more")
+    scratch.drop(parts, texts, member, named, leaders, first)
 
     whole = components(scratch, star.unionByName(more)).select(F.col("node").alias("cls"), "component")
     final = scratch.write(one.join(whole, "cls", "left").select("n", "s1", "s2", F.coalesce("component", "cls").alias("component_id")), "final")
