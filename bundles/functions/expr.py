@@ -144,6 +144,15 @@ def format_price(c) -> Column:
 STRING_LIST = "array<string>"
 
 
+#: Fixed pattern: the word None with only complete quoted strings after it, that is outside quotes.
+BARE_NONE = r"""\bNone\b(?=(?:[^'"]++|'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+")*+$)"""
+
+
+def none_to_null(x: Column) -> Column:
+    """Bare ``None`` tokens as ``null``; the word inside a quoted string stays."""
+    return F.when(x.contains("None"), F.regexp_replace(x, BARE_NONE, "null")).otherwise(x)
+
+
 def parse_json_list(c) -> Column:
     """Strict JSON list of strings, else empty array (single quotes rejected)."""
     x = strip(c)
@@ -155,7 +164,7 @@ def parse_json_list(c) -> Column:
 def parse_py_list(c) -> Column:
     """Python-literal list (single or double quotes), else empty array.
     A bare ``None`` is rewritten to ``null`` first."""
-    x = F.regexp_replace(strip(c), r"\bNone\b", "null")
+    x = none_to_null(strip(c))
     parsed = F.from_json(x, STRING_LIST, {"allowSingleQuotes": "true",
                                           "allowBackslashEscapingAnyCharacter": "true"})
     return F.when(x.startswith("["), F.coalesce(parsed, F.array().cast(STRING_LIST))) \
@@ -165,7 +174,7 @@ def parse_py_list(c) -> Column:
 def list_text(c) -> Column:
     """Parsed list joined by blanks; unparsable text -> trimmed text; null -> ''."""
     x = strip(c)
-    parsed = F.from_json(F.regexp_replace(x, r"\bNone\b", "null"), STRING_LIST, {"allowSingleQuotes": "true"})
+    parsed = F.from_json(none_to_null(x), STRING_LIST, {"allowSingleQuotes": "true"})
     joined = F.array_join(F.transform(parsed, lambda e: strip(e)), " ")
     return F.coalesce(F.when(x.startswith("["), joined), x, F.lit(""))
 
@@ -188,7 +197,7 @@ IMAGE_LIST = "array<struct<variant:string,hi_res:string,large:string,thumb:strin
 
 
 def parse_images(c) -> Column:
-    x = F.regexp_replace(strip(c), r"\bNone\b", "null")
+    x = none_to_null(strip(c))
     return F.from_json(x, IMAGE_LIST, {"allowSingleQuotes": "true"})
 
 

@@ -45,9 +45,8 @@ def transaction_stats(txn: DataFrame) -> DataFrame:
 def item_codes(clean: DataFrame, item_col: str = "item_id") -> DataFrame:
     """Dense 0-based integer codes for items (sorted order, no global window).
 
-    ``zipWithIndex`` numbers a range-partitioned sort without gathering rows.
+    The distributed global index numbers a range-partitioned sort in the JVM.
     """
-    spark = clean.sparkSession
-    items = clean.select(item_col).distinct().orderBy(item_col)
-    rdd = items.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
-    return spark.createDataFrame(rdd, f"{item_col} string, item_code bigint")
+    from .select import global_index
+    items = clean.select(F.col(item_col).cast("string").alias(item_col)).distinct()
+    return global_index(items, [item_col], "item_code").select(item_col, F.col("item_code").cast("bigint").alias("item_code"))

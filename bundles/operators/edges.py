@@ -66,12 +66,6 @@ def similarity_edges(members: DataFrame, basket_col: str = "collection_id", item
     return row_normalize(e) if normalize else e
 
 
-def pattern_items(patterns: DataFrame) -> DataFrame:
-    """(pattern_id, item, freq) with one row per item of each frequent itemset."""
-    return (patterns.withColumn("pattern_id", F.monotonically_increasing_id())
-            .select("pattern_id", F.explode("items").alias("item"), "freq"))
-
-
 def cooccurrence_edges(patterns: DataFrame, normalize: bool = False) -> DataFrame:
     """Sum of pattern support over patterns of size >= 2 holding both items."""
     p = patterns.where(F.size("items") >= 2)

@@ -20,71 +20,67 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _places(groups, labels, held, size: int, max_repeat: int):
+    """Per row (collection number in its group, position), None for rows that are turned away.
+
+    ``held`` = [group, collection number, labels of the members so far] is all
+    that passes from one batch to the next.
+    """
+    for g, own in zip(groups, labels):
+        if g != held[0]:
+            held[:] = [g, 0, []]
+        members = held[2]
+        if any(sum(m[i] == own[i] for m in members) >= max_repeat for i in range(len(own))):
+            yield None
+            continue
+        yield held[1], len(members)
+        members.append(own)
+        if len(members) == size:
+            held[1:] = [held[1] + 1, []]
+
+
 def _walker(size: int, max_repeat: int, key: str = "__g"):
+    """Rows sorted by group and order -> the members of complete collections."""
     def run(batches):
         import pandas as pd
 
-        group = object()
-        buf, c2n, c3n, seq = [], {}, {}, 0
-        cols = None
+        held, waiting = [object(), 0, []], pd.DataFrame()
         for pdf in batches:
-            cols = list(pdf.columns)
-            ig, i2, i3 = cols.index(key), cols.index("__c2"), cols.index("__c3")
-            out = []
-            for row in zip(*[pdf[c].tolist() for c in cols]):
-                if row[ig] != group:
-                    group, buf, c2n, c3n, seq = row[ig], [], {}, {}, 0
-                c2, c3 = row[i2], row[i3]
-                if c2n.get(c2, 0) < max_repeat and c3n.get(c3, 0) < max_repeat:
-                    buf.append(row)
-                    c2n[c2] = c2n.get(c2, 0) + 1
-                    c3n[c3] = c3n.get(c3, 0) + 1
-                    if len(buf) == size:
-                        out.extend(r + (seq, pos) for pos, r in enumerate(buf))
-                        seq += 1
-                        buf, c2n, c3n = [], {}, {}
-            if out:
-                yield pd.DataFrame.from_records(out, columns=cols + ["__seq", "__pos"])
+            labels = zip(pdf["__c2"].tolist(), pdf["__c3"].tolist())
+            placed = list(_places(pdf[key].tolist(), labels, held, size, max_repeat))
+            kept = pdf[[p is not None for p in placed]].copy()
+            kept[["__seq", "__pos"]] = [p for p in placed if p is not None] or pd.DataFrame(columns=["__seq", "__pos"])
+            rows = pd.concat([waiting, kept], ignore_index=True) if len(waiting) else kept
+            full = rows.groupby([key, "__seq"])["__pos"].transform("size") == size
+            is_open = (rows[key] == held[0]) & (rows["__seq"] == held[1])
+            waiting = rows[~full & is_open]  # at most size - 1 rows
+            if full.any():
+                yield rows[full].astype({"__seq": "int64", "__pos": "int32"})
     return run
 
 
 def pack_collections(df: DataFrame, group_col: str = "cat_1", c2_col: str = "cat_2", c3_col: str = "cat_3",
                      order_col: str = "parent_asin", item_col: str = "parent_asin", rating_col: str = "rating",
-                     size: int = 5, max_repeat: int = 2, partitions: int | None = None,
-                     shard_rows: int | None = None) -> DataFrame:
+                     size: int = 5, max_repeat: int = 2, partitions: int | None = None) -> DataFrame:
     """Output: collection_id (1-based, groups in ascending key order), item_id, rating, group, position.
 
-    ``shard_rows=None`` is the exact walk: one group is walked by one task
-    (constant memory, time linear in the group).  With ``shard_rows`` a group
-    is cut into consecutive shards of that many rows (by its order) that are
-    walked in parallel, each from an empty collection; only the at most
-    ``size - 1`` rows buffered at a shard end can differ from the exact walk.
+    The walk is exact: one group is walked by one task, with constant memory
+    and in time linear in the group.
     """
     src = (df.where(F.col(group_col).isNotNull())
            .select(F.col(group_col).alias("__g"), F.col(c2_col).alias("__c2"), F.col(c3_col).alias("__c3"),
                    F.col(order_col).alias("__o"), F.col(item_col).alias("item_id"),
                    F.col(rating_col).alias("rating")))
-    if shard_rows:
-        from .select import global_index
-        idx = global_index(src, ["__g", "__o"], "__idx")
-        first = idx.groupBy("__g").agg(F.min("__idx").alias("__first"))
-        src = (idx.join(first, "__g")
-               .withColumn("__s", F.floor((F.col("__idx") - F.col("__first")) / shard_rows).cast("long"))
-               .drop("__idx", "__first"))
-    else:
-        src = src.withColumn("__s", F.lit(0).cast("long"))
-    # the walker keys on one column: group and shard joined as text
-    src = src.withColumn("__gk", F.concat_ws("\u0001", F.col("__g").cast("string"), F.col("__s").cast("string")))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    walked = src.repartition(n, "__g", "__s").sortWithinPartitions("__g", "__s", "__o")
+    walked = src.repartition(n, "__g").sortWithinPartitions("__g", "__o")
     walked_schema = T.StructType(src.schema.fields + [T.StructField("__seq", T.LongType()),
                                                       T.StructField("__pos", T.IntegerType())])
-    walked = walked.mapInPandas(_walker(size, max_repeat, key="__gk"), walked_schema)
-    per_group = walked.groupBy("__g", "__s").agg((F.max("__seq") + 1).alias("__ncol"))
-    # one row per (group, shard): the prefix sum runs over a small table, and
+    walked = walked.mapInPandas(_walker(size, max_repeat), walked_schema)
+    per_group = walked.groupBy("__g").agg((F.max("__seq") + 1).alias("__ncol"))
+    # one row per group: the prefix sum runs over a small table, and
     # AQE broadcasts the offsets when their measured size allows
-    offs = per_group.select("__g", "__s", (F.sum("__ncol").over(Window.orderBy("__g", "__s"))
+    offs = per_group.select("__g", (F.sum("__ncol").over(Window.orderBy("__g"))
                                            - F.col("__ncol")).alias("__off"))
-    return (walked.join(offs, ["__g", "__s"])
+    return (walked.join(offs, ["__g"])
             .select((F.col("__off") + F.col("__seq") + 1).alias("collection_id"), "item_id", "rating",
                     F.col("__g").alias("group"), F.col("__pos").alias("position")))

@@ -58,7 +58,8 @@ def by_rules(baskets: DataFrame, rules: DataFrame, catalog: DataFrame, n: int =
     """Rules whose antecedent overlaps the basket vote for their consequent items
     with ``confidence * overlap / |antecedent|``; owned items are excluded."""
     known = known_items(baskets, catalog)
-    r = rules.withColumn("rule_id", F.monotonically_increasing_id())
+    # a name that a recomputed row keeps: the rule itself
+    r = rules.withColumn("rule_id", F.concat_ws("\u0002", F.array_join("antecedent", "\u0001"), F.array_join("consequent", "\u0001")))
     ante = r.select("rule_id", F.explode("antecedent").alias(I))
     overlap = (known.join(ante, I).groupBy(B, "rule_id")
                .agg(F.count(F.lit(1)).alias("overlap")))

@@ -15,21 +15,22 @@ ITEM_COLUMNS = ["main_category", "average_rating", "rating_number", "features",
                 "videos", "store", "categories", "details", "bought_together"]
 
 
-def origin_name(name: str) -> str:
-    if name.endswith("_review"):
-        return "users_" + name.replace("_review", "")
-    if name.endswith("_meta"):
-        return "item_" + name.replace("_meta", "")
-    if name in REVIEW_COLUMNS:
-        return "users_" + name
-    if name in ITEM_COLUMNS:
-        return "item_" + name
-    return name
+SUFFIX_PREFIX = {"_review": "users_", "_meta": "item_"}
+
+
+def prefix_plan(columns: Sequence[str], by_suffix: dict[str, str], by_name: dict[str, str]) -> dict[str, str]:
+    """Renames ``{old: new}``: a column with a listed suffix swaps it for the prefix
+    (the suffix text goes wherever it occurs), else a listed name gets its prefix."""
+    plan = {c: by_name[c] + c for c in columns if c in by_name}
+    for suffix, prefix in by_suffix.items():
+        plan.update((c, prefix + "".join(c.split(suffix))) for c in columns if c.endswith(suffix))
+    return plan
 
 
 def rename_origin(df: DataFrame) -> DataFrame:
-    """Suffix rule first (``_review`` -> ``users_``, ``_meta`` -> ``item_``), then the lists."""
-    return df.withColumnsRenamed({c: origin_name(c) for c in df.columns if origin_name(c) != c})
+    """Columns named after the side they come from: by suffix, else by the fixed column lists."""
+    by_name = dict.fromkeys(ITEM_COLUMNS, "item_") | dict.fromkeys(REVIEW_COLUMNS, "users_")
+    return df.withColumnsRenamed(prefix_plan(df.columns, SUFFIX_PREFIX, by_name))
 
 
 def join_with_suffixes(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",

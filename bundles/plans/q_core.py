@@ -198,10 +198,9 @@ select c.* from fx_collections c where not exists (
 def flt_not_isin(spark, sf):
     """Rows whose item was not already owned earlier in the same collection."""
     c = fx.collections(spark, sf)
-    earlier = (c.alias("a").join(c.alias("b"), ["collection_id", "item_id"])
-               .where(F.col("b.order_key") < F.col("a.order_key"))
-               .select("collection_id", "item_id", F.col("a.order_key").alias("order_key")).distinct())
-    return R.anti(c, earlier, ["collection_id", "item_id", "order_key"])
+    first = c.groupBy("collection_id", "item_id").agg(F.min("order_key").alias("first_key"))
+    owned = F.coalesce(F.col("first_key") < F.col("order_key"), F.lit(False))
+    return c.join(first, ["collection_id", "item_id"], "left").where(~owned).select(*c.columns)
 
 
 @query("flt_between", SQL_JOINED + f"""

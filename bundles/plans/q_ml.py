@@ -218,7 +218,7 @@ def ml_wmf(spark, sf):
 def ml_ease(spark, sf):
     sp = ratio_split(triplets(fx.reviews(spark, sf), "ease"), 0.2, 42).cache()
     tr = sp.where("split = 'train'")
-    blocks = items_table(spark, sf).select("item_id", F.col("cat_2").alias("block")).where("block is not null")
+    blocks = items_table(spark, sf).select("item_id", F.col("cat_2").alias("block"))
     w = ML.ease_weights(tr, blocks, lam=100.0).cache()
     rel_sp = split(spark, sf).cache()
     top = ML.ease_topk(tr, w, _eval_users(rel_sp), K)
@@ -243,7 +243,7 @@ def ml_ease_gram(spark, sf):
     """The Gram step of EASE (per item block), which has an exact SQL form."""
     sp = ratio_split(triplets(fx.reviews(spark, sf), "ease"), 0.2, 42, exclude_unknowns=False)
     tr = sp.where("split = 'train'")
-    blocks = items_table(spark, sf).select("item_id", F.col("cat_2").alias("block")).where("block is not null")
+    blocks = items_table(spark, sf).select("item_id", F.col("cat_2").alias("block"))
     return ML.ease_gram(tr, blocks)
 
 

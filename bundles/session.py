@@ -40,14 +40,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is used as is.  Only when it is unset (local tests)
-    do we create a fresh folder of our own and register it.
+    The cluster's setting is used as is.  Unset, a local session gets a fresh
+    folder of its own; any other session is an error, since executors would
+    write to their own disks.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="bundles-ckpt-", dir=os.environ.get("BUNDLES_SCRATCH", "/tmp"))
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

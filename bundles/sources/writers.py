@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,9 +66,16 @@ def compact(spark: SparkSession, input_glob: str, output_path: str, files: int =
             fs.delete(tmp_p, True)
         raise
     out_p = jvm.org.apache.hadoop.fs.Path(output_path)
-    if fs.exists(out_p):
-        fs.delete(out_p, True)
-    fs.rename(tmp_p, out_p)
+    old_p = jvm.org.apache.hadoop.fs.Path(output_path.rstrip("/") + "_replaced")
+    had_old = fs.exists(out_p)
+    if had_old and not fs.rename(out_p, old_p):
+        raise RuntimeError(f"cannot set {output_path} aside; the new data stays in {tmp}")
+    if not fs.rename(tmp_p, out_p):
+        if had_old:
+            fs.rename(old_p, out_p)
+        raise RuntimeError(f"cannot rename {tmp} to {output_path}")
+    if had_old:
+        fs.delete(old_p, True)
     if delete_inputs:
         for f in spark.read.parquet(input_glob).inputFiles():
             fs.delete(jvm.org.apache.hadoop.fs.Path(f), False)
@@ -90,17 +96,14 @@ def schema_sidecar(df: DataFrame, path: str, name: str) -> DataFrame:
                                         "columns", "tree")
 
 
-def split_positional(df: DataFrame, path: str, order_cols, part_rows: int = 500_000,
-                     max_parts: int | None = None) -> DataFrame:
+def split_positional(df: DataFrame, path: str, order_cols, part_rows: int = 500_000) -> DataFrame:
     """Files of ``part_rows`` consecutive rows (by ``order_cols``) under ``part_id=…``.
 
-    All rows are kept unless ``max_parts`` is given.  Positions come from the
+    All rows are kept.  Positions come from the
     distributed global index, not a global window.
     """
     from ..operators.select import global_index
     idx = global_index(df, order_cols, "__idx").withColumn("part_id", F.floor(F.col("__idx") / part_rows).cast("int"))
-    if max_parts is not None:
-        idx = idx.where(F.col("part_id") < max_parts)
     idx.drop("__idx").write.mode("overwrite").partitionBy("part_id").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -118,7 +121,3 @@ class RunLog:
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
-
-
-def dumps(d: dict) -> str:
-    return json.dumps(d, sort_keys=True)

@@ -85,3 +85,12 @@ def test_log1p_and_millis(spark):
     ts = spark.createDataFrame([(0,), (1700000000123,)], "x bigint").select(
         F.date_format(X.millis_to_ts("x"), "yyyy-MM-dd HH:mm:ss.SSS"))
     assert col_values(ts) == ["1970-01-01 00:00:00.000", "2023-11-14 22:13:20.123"]
+
+
+def test_none_inside_words_and_urls_stays(spark):
+    from bundles.functions import expr as X
+    rows = [("['None of these', 'Bike']",), ("[None, 'a', \"b, None, c\"]",), ('["He said None"]',), ("plain None",), ("['it\\'s None']",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string").select(X.parse_py_list("t")).collect()]
+    assert got == [["None of these", "Bike"], [None, "a", "b, None, c"], ["He said None"], [], ["it's None"]]
+    url = "[{'variant': 'MAIN', 'hi_res': None, 'large': 'https://h/None-1.jpg', 'thumb': ''}]"
+    assert spark.createDataFrame([(url,)], "t string").select(X.main_image(X.parse_images("t"))).first()[0] == "https://h/None-1.jpg"
