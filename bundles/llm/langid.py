@@ -30,7 +30,9 @@ from .common import append_columns
 MARK = "▁"
 UNKNOWN = "und"
 #: Words kept per worker (bounds memory only), and the longest that is kept.
-MAX_WORDS, MAX_KEPT = 300_000, 48
+MAX_WORDS, MAX_KEPT = 400_000, 48
+#: Sums below this are scaled up.
+TINY = 1e-100
 
 
 @lru_cache(maxsize=2)
@@ -96,6 +98,10 @@ class Scorer:
     def __init__(self, model: LanguageModel):
         _, self.known, self.of_byte, self.longest, _ = _pieces(model.path)
         self.log_p, self.p = model.log_p, np.exp(model.log_p)
+        rows = [tuple(r) for r in self.p.tolist()]
+        # every prefix of a piece, with the piece's probabilities if it is one itself, so that a walk can stop early
+        self.walk: dict[str, tuple] = {piece[:n]: () for piece in self.known for n in range(1, len(piece))}
+        self.walk.update((piece, rows[i]) for piece, i in self.known.items())
         self.kept: dict[str, np.ndarray] = {}
 
     def word(self, w: str) -> np.ndarray:
@@ -110,25 +116,30 @@ class Scorer:
 
     def forward(self, s: str) -> np.ndarray:
         """log of the sum over all segmentations of ``s``, per language; a character may fall back to its bytes."""
-        n, known, p, keep = len(s), self.known, self.p, self.longest + 1
-        alpha = [None] * keep  # ring buffer: the sums up to the last positions, divided by exp(scale)
-        alpha[0], scale = np.ones(p.shape[1]), np.zeros(p.shape[1])
-        for end in range(1, n + 1):
-            total = np.zeros(p.shape[1])
-            for start in range(max(0, end - self.longest), end):
-                i = known.get(s[start:end])
-                if i is not None:
-                    total += alpha[start % keep] * p[i]
-            last = s[end - 1]
-            if last not in known:
-                total += alpha[(end - 1) % keep] * np.exp(sum(self.log_p[self.of_byte[b]] for b in last.encode("utf-8", "replace")))
-            alpha[end % keep] = total
-            if end % 8 == 0:  # rescale long before anything underflows
-                top = total.copy()
-                top[top <= 0] = 1e-300
-                alpha = [a if a is None else a / top for a in alpha]
-                scale += np.log(top)
-        return np.log(np.maximum(alpha[n % keep], 1e-300)) + scale
+        n, walk, langs = len(s), self.walk, range(self.p.shape[1])
+        alpha: list = [None] * (n + 1)  # the sum up to each position, times TINY**-scale
+        alpha[0], scale = [1.0] * len(langs), [0] * len(langs)
+        for start in range(n):
+            here, alpha[start] = alpha[start], None
+            for i in langs:
+                if here[i] < TINY:  # rescale the positions ahead long before anything underflows
+                    scale[i] += 1
+                    here[i] /= TINY
+                    for ahead in alpha[start + 1:start + self.longest + 1]:
+                        if ahead is not None:
+                            ahead[i] /= TINY
+            if not walk.get(s[start]):
+                bytes_p = np.exp(sum(self.log_p[self.of_byte[b]] for b in s[start].encode("utf-8", "replace"))).tolist()
+                add = [h * p for h, p in zip(here, bytes_p)]
+                alpha[start + 1] = add if alpha[start + 1] is None else [x + y for x, y in zip(alpha[start + 1], add)]
+            for end in range(start + 1, min(n, start + self.longest) + 1):
+                p = walk.get(s[start:end])
+                if p is None:
+                    break
+                if p:
+                    old = alpha[end]
+                    alpha[end] = [h * q for h, q in zip(here, p)] if old is None else [x + h * q for x, h, q in zip(old, here, p)]
+        return np.log(alpha[n]) + np.array(scale) * np.log(TINY)
 
     def text(self, t: str) -> np.ndarray:
         words = Counter(t.split())
