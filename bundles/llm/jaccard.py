@@ -10,6 +10,11 @@ tokens of its prefix with it, the overlap with the union of each (bounded) part
 of the group bounds the similarity to every member, and only parts that the
 bound lets through are opened and compared member by member.
 
+Sets and unions travel as bitmaps of their hashed tokens.  A bit that only one
+of two bitmaps has stands for at least one token that only that set has, so
+bitmaps bound the overlap from above and never lose a link; texts are fetched
+only for the pairs that the bitmaps let through, and decide.
+
 Prefixes: in any global token order, two sets with Jaccard >= t share at least
 k of their first n - ceil(t*n) + k tokens.  The order is by hash, with tokens
 that occur in many documents last, so common passages do not meet.
@@ -18,7 +23,6 @@ that occur in many documents last, so common passages do not meet.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -91,6 +95,28 @@ def among(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Presence bits by the tokens' low bits; two to four bits a token, a power of two."""
+    size = 1 << max(6, (2 * len(s) - 1).bit_length())
+    flags = np.zeros(size, bool)
+    flags[(s & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def narrowed(bits: np.ndarray, size: int) -> np.ndarray:
+    """The bitmap (as 64-bit words) that the same tokens have with only ``size`` words."""
+    return bits if len(bits) == size else np.bitwise_or.reduce(bits.reshape(-1, size))
+
+
+def only_in(a: bytes, b: bytes) -> tuple[int, int]:
+    """Least numbers of tokens that only the first and only the second set has."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    size = min(len(x), len(y))
+    x, y = narrowed(x, size), narrowed(y, size)
+    both = x & y
+    return int(np.bitwise_count(x ^ both).sum()), int(np.bitwise_count(y ^ both).sum())
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
@@ -130,16 +156,17 @@ def _common_tokens(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
-    """Per document: set size, signature, and its prefix in the global order."""
+    """Per document: set size, signature, its prefix in the global order, and its bitmap."""
     held = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
         late = held.value
         for b in (b for whole in batches for b in slices(whole)):
-            keys, n, s1, s2, prefix = [], [], [], [], []
+            keys, n, s1, s2, prefix, bits = [], [], [], [], [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = shingle_set(t, width)
                 x, y = signature(s) if len(s) else (0, 0)
+                bits.append(bitmap(s))
                 if len(late):
                     s = np.concatenate([s[~(is_late := among(s, late))], s[is_late]])
                 take = len(s) - least_overlap(len(s), percent) + shared_least(len(s), percent) if len(s) else 0
@@ -150,9 +177,28 @@ def _signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) -
                 prefix.append(s[:take].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "n", "s1", "s2", "prefix"])
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["doc_id", "n", "s1", "s2", "prefix", "bits"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, prefix array<long>, bits binary")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, prefix array<long>")
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``pairs(a, b)`` that may be linked by the sizes and bitmaps in ``sets(cls, n, bits)``."""
+    def run(batches):
+        for batch in (b for whole in batches for b in slices(whole)):
+            keep = []
+            for i, (n, m, x, y) in enumerate(zip(*[batch.column(c).to_pylist() for c in range(2, 6)])):
+                p, q = only_in(x, y)
+                both = min(n - p, m - q)
+                if 100 * both >= percent * (n + m - both):
+                    keep.append(i)
+            keep = pa.array(keep, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
+
+    left = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
+    right = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
+    return (pairs.join(left, "a").join(right, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+            .select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long"))
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -199,22 +245,23 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     one = scratch.write(one, "classes")
     # a class's prefix, from its representative row (repeated rows of it are equal or another class)
     sets = signed.where("n > 0").join(one.select(F.col("cls").alias("doc_id"), "n", "s1", "s2"), ["doc_id", "n", "s1", "s2"])
-    sets = scratch.write(sets.dropDuplicates(["doc_id", "n", "s1", "s2"]).select(F.col("doc_id").alias("cls"), "n", "prefix"), "sets")
-
-    def texts_of(ids: DataFrame, name: str) -> DataFrame:
-        """The texts of the classes that a step compares, written: all texts are dealt out once for it."""
-        return scratch.write(docs.join(ids.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), name)
+    sets = scratch.write(sets.dropDuplicates(["doc_id", "n", "s1", "s2"]).select(F.col("doc_id").alias("cls"), "n", "prefix", "bits"), "sets")
 
+    def links(pairs: DataFrame, name: str) -> DataFrame:
+        """The linked rows of ``pairs(a, b)``; only texts of pairs that the bitmaps let through are dealt out."""
+        close = scratch.write(_possible(pairs, sets, percent), name + "_close")
+        ids = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        texts = scratch.write(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), name + "_texts")
+        out = scratch.write(_verify(close, texts, width, percent), name)
+        scratch.drop(close, texts)
+        return out
 
     # groups: links with a leader per key
     keys = sets.select("cls", F.explode(F.slice("prefix", 1, LEADER_KEYS)).alias("token"))
     leaders = keys.groupBy("token").agg(F.min(F.struct(F.xxhash64("cls", "token").alias("h"), F.col("cls").alias("leader"))).alias("x"),
                                         F.count(F.lit(1)).alias("m")).where("m > 1").select("token", F.col("x.leader").alias("leader"))
     leaders = scratch.write(leaders, "leaders")
-    first = scratch.write(keys.join(leaders, "token").where("cls <> leader").select(F.col("cls").alias("a"), F.col("leader").alias("b")).distinct(), "first")
-    texts = texts_of(first.select(F.explode(F.array("a", "b")).alias("id")), "first_texts")
-    star = scratch.write(_verify(first, texts, width, percent), "star")
-    scratch.drop(texts)
+    star = links(keys.join(leaders, "token").where("cls <> leader").select(F.col("cls").alias("a"), F.col("leader").alias("b")).distinct(), "star")
     grouped = components(scratch, star)
     sets = scratch.write(sets.join(grouped.select(F.col("node").alias("cls"), "component"), "cls", "left")
                          .withColumn("component", F.coalesce("component", "cls")), "grouped")
@@ -224,8 +271,9 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     shared = scratch.write(index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                            .where("low < high").select("token"), "shared")
     index = scratch.write(index.join(shared, "token", "left_semi"), "index")
-    groups = scratch.write(index.select("token", F.col("component").alias("other")).distinct(), "matrix")
-    met = index.join(groups, "token").where("component > other").groupBy("cls", "n", "other").agg(F.count(F.lit(1)).alias("m"))
+    groups = scratch.write(index.groupBy("token", F.col("component").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high")), "matrix")
+    sized = (100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high"))
+    met = index.join(groups, "token").where((F.col("component") > F.col("other")) & sized).groupBy("cls", "n", "other").agg(F.count(F.lit(1)).alias("m"))
     met = scratch.write(met.where(F.col("m") >= 1 + F.floor(F.ceil(F.col("n") * percent / 100) * (100 - percent) / 400)).select("cls", "other"), "met")
     scratch.drop(index, groups, shared)
 
@@ -236,29 +284,26 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     member = scratch.write(inner.join(parts, "component").select(
         "cls", "component", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part")), "members")
 
-    texts = texts_of(met.select(F.col("cls").alias("id")).union(member.select("cls")), "met_texts")
+    def union(rows: pa.Table) -> pa.Table:
+        maps = [np.frombuffer(x, np.uint64) for x in rows.column("bits").to_pylist()]
+        size = min(map(len, maps))
+        out = np.bitwise_or.reduce([narrowed(x, size) for x in maps])
+        return rows.slice(0, 1).select(["component", "part"]).append_column("tokens", pa.array([out.tobytes()], pa.binary()))
 
-    def union(rows: pd.DataFrame) -> pd.DataFrame:
-        tokens = np.unique(np.concatenate([shingle_set(t, width) for t in rows["text"]]))
-        return pd.DataFrame({"component": rows["component"].iloc[:1], "part": rows["part"].iloc[:1], "tokens": [tokens.tobytes()]})
-
-    unions = scratch.write(member.join(texts, member.cls == texts.doc_id).groupBy("component", "part")
-                           .applyInPandas(union, "component long, part long, tokens binary"), "unions")
+    bits = sets.select("cls", "n", "bits")
+    unions = scratch.write(member.join(bits, "cls").select("component", "part", "bits").groupBy("component", "part")
+                           .applyInArrow(union, "component long, part long, tokens binary"), "unions")
 
     def bound(batches):
-        for b in (b for whole in batches for b in slices(whole, 100)):
-            keep = []
-            for i, (t, u) in enumerate(zip(b.column(3).to_pylist(), b.column(4).to_pylist())):
-                s, u = shingle_set(t, width), np.frombuffer(u, np.uint64)
-                if among(s, u).sum() >= least_overlap(len(s), percent):
-                    keep.append(i)
+        for b in (b for whole in batches for b in slices(whole)):
+            keep = [i for i, (n, x, u) in enumerate(zip(*[b.column(c).to_pylist() for c in range(3, 6)]))
+                    if n - only_in(x, u)[0] >= least_overlap(n, percent)]
             yield pa.RecordBatch.from_arrays([b.column(i).take(pa.array(keep, pa.int32())) for i in range(3)], names=["cls", "component", "part"])
 
-    asked = met.join(texts.withColumnRenamed("doc_id", "cls"), "cls").withColumnRenamed("other", "component").join(unions, "component")
-    opened = scratch.write(asked.select("cls", "component", "part", "text", "tokens").mapInArrow(bound, "cls long, component long, part long"), "opened")
-    pairs = opened.join(member.withColumnRenamed("cls", "b"), ["component", "part"]).select(F.col("cls").alias("a"), "b")
-    more = scratch.write(_verify(pairs, texts, width, percent), "more")
-    scratch.drop(unions, opened, sets, leaders, first)
+    asked = met.withColumnRenamed("other", "component").join(unions, "component").join(bits, "cls")
+    opened = scratch.write(asked.select("cls", "component", "part", "n", "bits", "tokens").mapInArrow(bound, "cls long, component long, part long"), "opened")
+    more = links(opened.join(member.withColumnRenamed("cls", "b"), ["component", "part"]).select(F.col("cls").alias("a"), "b"), "more")
+    scratch.drop(unions, opened, sets, leaders, member, met, parts)
 
     whole = components(scratch, star.unionByName(more)).select(F.col("node").alias("cls"), "component")
     final = scratch.write(one.join(whole, "cls", "left").select("n", "s1", "s2", F.coalesce("component", "cls").alias("component_id")), "final")
