@@ -14,9 +14,11 @@ languages, whatever the size of the corpus, and goes to the workers whole.
 from __future__ import annotations
 
 
+import uuid
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,12 @@ from .common import append_columns
 #: The mark of a word's start in the vocabulary.
 MARK = "▁"
 UNKNOWN = "und"
-#: Words kept per worker (bounds memory only), and the longest that is kept.
-MAX_WORDS, MAX_KEPT = 400_000, 48
+#: Words and characters kept per worker (bounds memory only), and the length from which a word is summed alone.
+MAX_WORDS, MAX_CHARS, LONG = 400_000, 8_000_000, 48
+#: Words summed in one pass.
+AT_ONCE = 4_000
+#: A word's sums are multiplied by this per character, so that they stay in range.
+LIFT = 1e4
 #: Sums below this are scaled up.
 TINY = 1e-100
 
@@ -52,6 +58,7 @@ class LanguageModel:
     path: str
     languages: tuple
     log_p: np.ndarray
+    mark: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def train(df: DataFrame, path: str, text: str = "text", lang: str = "lang") -> LanguageModel:
@@ -96,23 +103,68 @@ class Scorer:
     """Forward sums of words under every language at once."""
 
     def __init__(self, model: LanguageModel):
+        import ahocorasick
         _, self.known, self.of_byte, self.longest, _ = _pieces(model.path)
         self.log_p, self.p = model.log_p, np.exp(model.log_p)
         rows = [tuple(r) for r in self.p.tolist()]
         # every prefix of a piece, with the piece's probabilities if it is one itself, so that a walk can stop early
         self.walk: dict[str, tuple] = {piece[:n]: () for piece in self.known for n in range(1, len(piece))}
         self.walk.update((piece, rows[i]) for piece, i in self.known.items())
-        self.kept: dict[str, np.ndarray] = {}
+        self.finder = ahocorasick.Automaton()  # a piece's value: its id and its length
+        for piece, i in self.known.items():
+            self.finder.add_word(piece, i * 256 + len(piece))
+        self.finder.make_automaton()
+        self.row: dict[str, int] = {}  # word -> its row of ``table``
+        self.table, self.chars = np.zeros((0, self.p.shape[1])), 0
 
     def word(self, w: str) -> np.ndarray:
-        got = self.kept.get(w)
-        if got is None:
-            got = self.forward(MARK + w)
-            if len(w) <= MAX_KEPT:
-                if len(self.kept) >= MAX_WORDS:
-                    self.kept.clear()
-                self.kept[w] = got
-        return got
+        self.learn({w})
+        return self.table[self.row[w]]
+
+    def learn(self, words: set[str]) -> None:
+        """Compute the words that are not kept yet, all in one pass."""
+        new = [w for w in words if w not in self.row]
+        if len(self.row) + len(new) > MAX_WORDS or self.chars > MAX_CHARS:
+            self.row, self.table, self.chars, new = {}, self.table[:0], 0, list(words)
+        if new:
+            self.chars += sum(map(len, new))
+            self.row.update(zip(new, range(len(self.table), len(self.table) + len(new))))
+            self.table = np.concatenate([self.table] + [self.together(new[at:at + AT_ONCE]) for at in range(0, len(new), AT_ONCE)])
+
+    def together(self, words: list[str]) -> np.ndarray:
+        """``forward`` of many words: their characters stand in one string, and all words advance by a place at a time.
+
+        Sums are multiplied by ``LIFT`` per character; words that are long, hold a character
+        that is no piece, or leave the range of doubles all the same go through ``forward``.
+        """
+        out = np.zeros((len(words), self.p.shape[1]))
+        short = [i for i, w in enumerate(words) if len(w) < LONG and self.known.keys() >= set(w)]
+        if short:
+            marked = [MARK + words[i] for i in short]
+            lengths = np.array([len(w) for w in marked])
+            first = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
+            place = np.arange(first[-1] + lengths[-1] + 1) - np.repeat(first, lengths + 1)  # 0 before a word, n after n characters
+            # words are parted by a line break, which no piece holds; sums at x are those before character x
+            found = np.fromiter(chain.from_iterable(self.finder.iter("\n".join(marked))), np.int64).reshape(-1, 2)
+            end, piece, size = found[:, 0] + 1, found[:, 1] >> 8, found[:, 1] & 255
+            order = np.argsort(place[end].astype(np.int16), kind="stable")  # matches come by their ends
+            end, piece, start = end[order], piece[order], (end - size)[order]
+            factor = self.p[piece] * np.power(LIFT, size[order])[:, None]
+            alpha = np.zeros((len(place) + 1, self.p.shape[1]))
+            alpha[first] = 1.0
+            steps = np.searchsorted(place[end], np.arange(1, lengths.max() + 2))
+            for lo, hi in zip(steps, steps[1:]):
+                if lo < hi:
+                    heads = np.flatnonzero(np.diff(end[lo:hi], prepend=-1))
+                    alpha[end[lo:hi][heads]] = np.add.reduceat(alpha[start[lo:hi]] * factor[lo:hi], heads)
+            last = alpha[first + lengths]
+            good = ((last > 1e-290) & (last < 1e290)).all(axis=1)
+            with np.errstate(divide="ignore"):
+                out[short] = np.log(last) - (lengths * np.log(LIFT))[:, None]
+            short = [i for i, ok in zip(short, good) if ok]
+        for i in set(range(len(words))) - set(short):
+            out[i] = self.forward(MARK + words[i])
+        return out
 
     def forward(self, s: str) -> np.ndarray:
         """log of the sum over all segmentations of ``s``, per language; a character may fall back to its bytes."""
@@ -141,9 +193,22 @@ class Scorer:
                     alpha[end] = [h * q for h, q in zip(here, p)] if old is None else [x + h * q for x, h, q in zip(old, here, p)]
         return np.log(alpha[n]) + np.array(scale) * np.log(TINY)
 
-    def text(self, t: str) -> np.ndarray:
-        words = Counter(t.split())
-        return np.fromiter(words.values(), float, len(words)) @ np.stack([self.word(w) for w in words])
+    def texts(self, texts: list[str]) -> list[np.ndarray]:
+        """One vector of log-likelihoods per text; the words that are new to all of them are computed together."""
+        words = [Counter(t.split()) for t in texts]
+        self.learn({w for own in words for w in own})
+        return [np.fromiter(own.values(), float, len(own)) @ self.table[list(map(self.row.__getitem__, own))] for own in words]
+
+
+#: The scorer that a worker process keeps from task to task, under its model's mark.
+_scorers: dict[str, Scorer] = {}
+
+
+def scorer(model: LanguageModel) -> Scorer:
+    if model.mark not in _scorers:
+        _scorers.clear()
+        _scorers[model.mark] = Scorer(model)
+    return _scorers[model.mark]
 
 
 def predict(df: DataFrame, model: LanguageModel, text: str = "text", lang_out: str = "lang_pred", score_out: str = "lang_score") -> DataFrame:
@@ -155,21 +220,13 @@ def predict(df: DataFrame, model: LanguageModel, text: str = "text", lang_out: s
     table stays empty, other columns pass through, columns of the outputs'
     names are replaced.
     """
-    held: list[Scorer] = []
-
     def run(texts: pa.Array, letters: pa.Array) -> list[pa.Array]:
-        if not held:
-            held.append(Scorer(model))
-        names, scores = [], []
-        for t, has in zip(texts.to_pylist(), letters.to_pylist()):
-            if not has or not model.languages:
-                names.append(UNKNOWN)
-                scores.append(0.0)
-                continue
-            s = held[0].text(t)
+        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        asked = [i for i, has in enumerate(letters.to_pylist()) if has and model.languages]
+        for s, i in zip(scorer(model).texts([texts[i].as_py() for i in asked]) if asked else [], asked):
             best = int(s.argmax())
-            names.append(model.languages[best])
-            scores.append(1.0 / float(np.exp(np.maximum(s - s[best], -700.0)).sum()))
+            names[i] = model.languages[best]
+            scores[i] = 1.0 / float(np.exp(np.maximum(s - s[best], -700.0)).sum())
         return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
 
     made = df.withColumn("has_letter__", F.coalesce(F.rlike(F.col(f"`{text}`"), F.lit(r"\p{L}")), F.lit(False)))
