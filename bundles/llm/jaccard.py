@@ -32,12 +32,14 @@ from .common import Scratch, components, slices
 
 #: Leaders that each class is compared with first.
 LEADER_KEYS = 4
-#: A token counts as common when it is in this share of the documents; at most (mean set size / share) tokens are.
-COMMON_SHARE = 0.002
+#: A token counts as common when it is in this share of the documents; at most (mean tokens counted / share) tokens are.
+COMMON_SHARE = 0.0002
+#: Common tokens are looked for among this many times the prefix; those further back seldom reach a prefix.
+LOOK_AHEAD = 3
 #: Tokens of a group part, on average; bounds the union that stands for it.
 PART_TOKENS = 16_384
 #: Tokens that a task counts at a time when it looks for common ones.
-COUNT_AT_ONCE = 1_000_000
+COUNT_AT_ONCE = 4_000_000
 #: Hashed words kept per worker; bounds memory only.
 MAX_WORDS = 250_000
 
@@ -88,6 +90,10 @@ def shared_least(n: int, percent: int) -> int:
     return 1 + n * (100 - percent) // 400
 
 
+def prefix_size(n: int, percent: int) -> int:
+    return n - least_overlap(n, percent) + shared_least(n, percent) if n else 0
+
+
 def among(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which values of ``a`` are in the sorted ``b``."""
     if not len(b):
@@ -124,24 +130,26 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _common_tokens(docs: DataFrame, width: int) -> np.ndarray:
-    """Tokens in at least ``COMMON_SHARE`` of all documents.
+def _common_tokens(docs: DataFrame, width: int, percent: int) -> np.ndarray:
+    """Tokens, of those that can come to stand in a prefix, in about ``COMMON_SHARE`` of all documents or more.
 
-    Whole texts are counted in runs of documents; a token that reaches the
-    share overall reaches it in some run, and only those go on to the global
-    sum, so what is gathered is bounded by (mean set size / share) per run and
-    by the same for the result.  Any set of tokens gives a valid order.
+    All documents are counted, in runs; a token that reaches the share overall
+    reaches it in some run, and only those (in runs of few documents, those
+    seen three times) go on to the global sum.  So what is gathered is bounded
+    by (mean tokens counted / share) per run and by the same for the result.
+    Any set of tokens gives a valid order; this one only keeps lists short.
     """
     def count(batches):
         def told(sets):
             tokens, n = np.unique(np.concatenate(sets), return_counts=True)
-            often = n >= max(8, COMMON_SHARE * len(sets))
+            often = n >= max(3, COMMON_SHARE * len(sets))
             return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often])], names=["token", "n"])
 
         sets, size = [], 0
         for b in (b for whole in batches for b in slices(whole)):
             for t in b.column(0).to_pylist():
-                sets.append(shingle_set(t, width))
+                s = shingle_set(t, width)
+                sets.append(s[:LOOK_AHEAD * prefix_size(len(s), percent)].copy())
                 size += len(sets[-1])
                 if size >= COUNT_AT_ONCE:
                     yield told(sets)
@@ -169,7 +177,7 @@ def _signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) -
                 bits.append(bitmap(s))
                 if len(late):
                     s = np.concatenate([s[~(is_late := among(s, late))], s[is_late]])
-                take = len(s) - least_overlap(len(s), percent) + shared_least(len(s), percent) if len(s) else 0
+                take = prefix_size(len(s), percent)
                 keys.append(k)
                 n.append(len(s))
                 s1.append(x)
@@ -240,7 +248,7 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     """
     scratch = Scratch(df.sparkSession, "jaccard")
     docs = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    signed = scratch.write(_signatures(docs, width, percent, _common_tokens(docs, width)), "signed")
+    signed = scratch.write(_signatures(docs, width, percent, _common_tokens(docs, width, percent)), "signed")
     one = signed.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("cls"))
     one = scratch.write(one, "classes")
     # a class's prefix, from its representative row (repeated rows of it are equal or another class)
