@@ -2,11 +2,13 @@
 
 Documents become sets of word shingles (64-bit hashes).  Equal sets fold into
 one class.  Similar classes are first gathered into groups: each class is
-compared with one randomly chosen leader per key, the keys being its first
-tokens in a global order, and verified links make the groups.  What is left
+compared with one leader per key, the keys being some of the prefix tokens that
+it shares and the leader a class with few tokens of its own, and verified links
+make the groups.  What is left
 are pairs of classes in different groups.  For these, a group's token union
 stands for its members: a class meets another group only if it shares enough
-tokens of its prefix with it, the overlap with the union of each (bounded) part
+tokens of its prefix with it and the places of these tokens allow the sizes
+found there, the overlap with the union of each (bounded) part
 of the group bounds the similarity to every member, and only parts that the
 bound lets through are opened and compared member by member.
 
@@ -25,17 +27,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, components, slices
 
-#: Leaders that each class is compared with first.
+#: A class's first leaders are those of so many of its first and of its last shared tokens.
 LEADER_KEYS = 4
-#: A token counts as common when it is in this share of the documents; at most (mean tokens counted / share) tokens are.
+#: A token counts as common when it is in this share of the documents; at most (mean set size / share) tokens are.
 COMMON_SHARE = 0.0002
-#: Common tokens are looked for among this many times the prefix; those further back seldom reach a prefix.
-LOOK_AHEAD = 3
 #: Tokens of a group part, on average; bounds the union that stands for it.
 PART_TOKENS = 16_384
 #: Tokens that a task counts at a time when it looks for common ones.
@@ -130,14 +130,15 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _common_tokens(docs: DataFrame, width: int, percent: int) -> np.ndarray:
-    """Tokens, of those that can come to stand in a prefix, in about ``COMMON_SHARE`` of all documents or more.
+def _common_tokens(docs: DataFrame, width: int) -> np.ndarray:
+    """Tokens in about ``COMMON_SHARE`` of all documents or more.
 
-    All documents are counted, in runs; a token that reaches the share overall
-    reaches it in some run, and only those (in runs of few documents, those
-    seen three times) go on to the global sum.  So what is gathered is bounded
-    by (mean tokens counted / share) per run and by the same for the result.
-    Any set of tokens gives a valid order; this one only keeps lists short.
+    Whole texts are counted, in runs of documents; a token that reaches the
+    share overall reaches it in some run, and only those (in runs of few
+    documents, those seen three times) go on to the global sum.  So what is
+    gathered is bounded by (mean set size / share) per run and by the same for
+    the result.  Any set of tokens gives a valid order; this one puts a copy's
+    own tokens before those that it has in common with thousands.
     """
     def count(batches):
         def told(sets):
@@ -148,8 +149,7 @@ def _common_tokens(docs: DataFrame, width: int, percent: int) -> np.ndarray:
         sets, size = [], 0
         for b in (b for whole in batches for b in slices(whole)):
             for t in b.column(0).to_pylist():
-                s = shingle_set(t, width)
-                sets.append(s[:LOOK_AHEAD * prefix_size(len(s), percent)].copy())
+                sets.append(shingle_set(t, width))
                 size += len(sets[-1])
                 if size >= COUNT_AT_ONCE:
                     yield told(sets)
@@ -248,7 +248,7 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     """
     scratch = Scratch(df.sparkSession, "jaccard")
     docs = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    signed = scratch.write(_signatures(docs, width, percent, _common_tokens(docs, width, percent)), "signed")
+    signed = scratch.write(_signatures(docs, width, percent, _common_tokens(docs, width)), "signed")
     one = signed.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("cls"))
     one = scratch.write(one, "classes")
     # a class's prefix, from its representative row (repeated rows of it are equal or another class)
@@ -264,30 +264,45 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
         scratch.drop(close, texts)
         return out
 
-    # groups: links with a leader per key
-    keys = sets.select("cls", F.explode(F.slice("prefix", 1, LEADER_KEYS)).alias("token"))
-    leaders = keys.groupBy("token").agg(F.min(F.struct(F.xxhash64("cls", "token").alias("h"), F.col("cls").alias("leader"))).alias("x"),
+    # Prefix tokens that classes share.  A partner shares k of them at least, so its last one is not before the k-th that
+    # any class has; the tokens passed over until there are not the partner's.  That bounds overlap and partner's size.
+    index = sets.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
+    shared = scratch.write(index.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token"), "tokens")
+    own = Window.partitionBy("cls")
+    k = 1 + F.floor(F.ceil(F.col("n") * percent / 100) * (100 - percent) / 400)
+    index = (index.join(shared, "token", "left_semi").withColumns({"nth": F.row_number().over(own.orderBy("pos")), "m": F.count(F.lit(1)).over(own)})
+             .withColumn("overlap", F.max(F.when(F.col("nth") == k, k - 1 + F.col("n") - F.col("pos"))).over(own))
+             .withColumn("largest", F.expr(f"overlap * {100 + percent} div {percent} - n")).where(100 * F.col("largest") >= percent * F.col("n")))
+    key = (F.col("nth") <= LEADER_KEYS) | (F.col("nth") > F.col("m") - LEADER_KEYS)
+    index = scratch.write(index.select("cls", "n", "largest", "token", (F.col("n") - F.col("overlap")).alias("passed"), key.alias("key")), "sharing")
+
+    # groups: links with a leader per key, the class that passed the fewest tokens over and so can be close to most
+    keys = index.where("key").select("cls", "token", "passed")
+    leaders = keys.groupBy("token").agg(F.min(F.struct("passed", F.xxhash64("cls", "token").alias("h"), F.col("cls").alias("leader"))).alias("x"),
                                         F.count(F.lit(1)).alias("m")).where("m > 1").select("token", F.col("x.leader").alias("leader"))
     leaders = scratch.write(leaders, "leaders")
     star = links(keys.join(leaders, "token").where("cls <> leader").select(F.col("cls").alias("a"), F.col("leader").alias("b")).distinct(), "star")
     grouped = components(scratch, star)
-    sets = scratch.write(sets.join(grouped.select(F.col("node").alias("cls"), "component"), "cls", "left")
-                         .withColumn("component", F.coalesce("component", "cls")), "grouped")
+    sharing = index
+    index = (index.drop("passed", "key").join(grouped.select(F.col("node").alias("cls"), "component"), "cls", "left")
+             .withColumn("component", F.coalesce("component", "cls")))
 
     # tokens that classes of different groups share, and the groups that a class shares enough of them with
-    index = sets.select("cls", "n", "component", F.explode("prefix").alias("token"))
     shared = scratch.write(index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                            .where("low < high").select("token"), "shared")
     index = scratch.write(index.join(shared, "token", "left_semi"), "index")
-    groups = scratch.write(index.groupBy("token", F.col("component").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high")), "matrix")
-    sized = (100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high"))
+    groups = scratch.write(index.groupBy("token", F.col("component").alias("other")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("largest").alias("reach")), "matrix")
+    sized = ((100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high"))
+             & (F.col("low") <= F.col("largest")) & (F.col("n") <= F.col("reach")))
     met = index.join(groups, "token").where((F.col("component") > F.col("other")) & sized).groupBy("cls", "n", "other").agg(F.count(F.lit(1)).alias("m"))
-    met = scratch.write(met.where(F.col("m") >= 1 + F.floor(F.ceil(F.col("n") * percent / 100) * (100 - percent) / 400)).select("cls", "other"), "met")
-    scratch.drop(index, groups, shared)
+    met = scratch.write(met.where(F.col("m") >= k).select("cls", "other"), "met")
+    able = scratch.write(index.select("cls", "n", "component").distinct(), "able")
+    scratch.drop(index, sharing, groups, shared)
 
     # parts of the groups that are met, their unions, the bound, and the members of what it lets through
     wanted = met.select(F.col("other").alias("component")).distinct()
-    inner = sets.select("cls", "n", "component").join(wanted, "component", "left_semi")
+    inner = able.join(wanted, "component", "left_semi")
     parts = scratch.write(inner.groupBy("component").agg(F.ceil(F.sum("n") / PART_TOKENS).alias("parts")), "parts")
     member = scratch.write(inner.join(parts, "component").select(
         "cls", "component", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part")), "members")
@@ -311,7 +326,7 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     asked = met.withColumnRenamed("other", "component").join(unions, "component").join(bits, "cls")
     opened = scratch.write(asked.select("cls", "component", "part", "n", "bits", "tokens").mapInArrow(bound, "cls long, component long, part long"), "opened")
     more = links(opened.join(member.withColumnRenamed("cls", "b"), ["component", "part"]).select(F.col("cls").alias("a"), "b"), "more")
-    scratch.drop(unions, opened, sets, leaders, member, met, parts)
+    scratch.drop(unions, opened, sets, leaders, member, met, parts, able)
 
     whole = components(scratch, star.unionByName(more)).select(F.col("node").alias("cls"), "component")
     final = scratch.write(one.join(whole, "cls", "left").select("n", "s1", "s2", F.coalesce("component", "cls").alias("component_id")), "final")
