@@ -258,10 +258,11 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     def links(pairs: DataFrame, name: str) -> DataFrame:
         """The linked rows of ``pairs(a, b)``; only texts of pairs that the bitmaps let through are dealt out."""
         close = scratch.write(_possible(pairs, sets, percent), name + "_close")
-        ids = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        # written, so that Spark knows its size and deals out all texts only where it is too large to broadcast
+        ids = scratch.write(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), name + "_ids")
         texts = scratch.write(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), name + "_texts")
         out = scratch.write(_verify(close, texts, width, percent), name)
-        scratch.drop(close, texts)
+        scratch.drop(close, ids, texts)
         return out
 
     # Prefix tokens that classes share.  A partner shares k of them at least, so its last one is not before the k-th that
