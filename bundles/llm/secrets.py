@@ -5,8 +5,11 @@ high randomness: candidate strings of a character class are scanned with a
 sliding window whose character counts are kept incrementally (one count up,
 one count down per step); the window's Shannon entropy follows from the sum of
 c*log2(c) over the counts, which each step changes by one table difference.
-Windows over the class's threshold are merged into spans.  Candidates that an
-allow-list pattern matches are suppressed; base spans never are.
+Windows over the class's threshold are merged into spans.  Placeholder words
+and runs of one character suppress only the windows that overlap them: a
+candidate ends where one begins and the next may start where it ends.  What is
+left of a candidate is suppressed as a whole only if it is a checksum of a known
+length or plain words throughout; base spans never are.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ BASE = (
 
 @dataclass(frozen=True)
 class CharClass:
-    """A character class to scan: maximal runs of ``alphabet`` of ``window`` characters or more."""
+    """A character class to scan: matches of ``pattern``, runs of ``alphabet`` of ``window`` characters or more."""
     kind: str
     alphabet: str
     pattern: str
@@ -36,17 +39,30 @@ class CharClass:
     needs: tuple = ()  # patterns that a candidate must match as well
 
 
+#: Words that mark a placeholder, and rows of characters that only look random; in any case.
+PLACEHOLDERS = ("example", "sample", "placeholder", "changeme", "dummy", "redacted", "abcdefghijklm", "nopqrstuvwxyz", "0123456789", "0123456789abcdef")
+
+
+def candidates(chars: str, window: int, alphabet: str) -> str:
+    """Pattern of the runs of ``chars``, ``window`` or more, that overlap no placeholder and no run of 8 equal characters."""
+    words = [w for w in PLACEHOLDERS if set(w) <= set(alphabet)]
+    inside = "|".join(f"{w[j:]}(?<={w})" for w in words for j in range(1, len(w)))
+    after = "|".join(f"(?<={w})" for w in words)
+    # a character equal to the one before starts a candidate only after a word: elsewhere it is the rest of a run
+    starts = rf"(?={chars}{{{window}}})(?!(?i:{inside}))(?i:{after}|(?!(?<=(.))\1))"
+    return rf"{starts}(?:(?!(?i:{'|'.join(words)}|(.)\2{{7}})){chars}){{{window},}}+"
+
+
+_BASE64, _HEX = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", "0123456789abcdefABCDEF"
 CLASSES = (
-    CharClass("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-",
-              r"[A-Za-z0-9+/_=-]{24,}", 24, 4.0, (r"[0-9]", r"[A-Za-z]")),
-    CharClass("entropy_hex", "0123456789abcdefABCDEF", r"[0-9a-fA-F]{32,}", 32, 3.3, (r"[0-9]", r"[A-Fa-f]")),
+    CharClass("entropy_base64", _BASE64, candidates("[A-Za-z0-9+/_=-]", 24, _BASE64), 24, 4.0, (r"[0-9]", r"[A-Za-z]")),
+    CharClass("entropy_hex", _HEX, candidates("[0-9a-fA-F]", 32, _HEX), 32, 3.3, (r"[0-9]", r"[A-Fa-f]")),
 )
-#: Strings that look random but are no secrets.
+#: Whole candidates that look random but are no secrets: checksums (base64 or hex) and words with a short number at the
+#: end.  A word is of one case, but for a capital at its start, so that the random tail of a prefixed key is none.
 ALLOW = (
-    r"(?i)example|sample|placeholder|changeme|dummy|redacted",
-    r"(?i)abcdefghijklm|0123456789abcdef|(.)\1{7}",
-    r"^sha(1|256|384|512)-",
-    r"^(?:[A-Za-z]+[/_=-])+[A-Za-z0-9]*$",
+    r"^sha(?:1-(?:.{27}|.{40})|256-(?:.{43}|.{64})|384-(?:.{64}|.{96})|512-(?:.{86}|.{128}))={0,2}$",
+    r"^(?:(?:[A-Z]?[a-z]+|[A-Z]+)[/_=-])++(?:[A-Z]?[a-z]*|[A-Z]*)[0-9]{0,4}$",
 )
 #: c*log2(c) is held as an integer, so that the running sum stays exact.
 UNIT = 1 << 20
