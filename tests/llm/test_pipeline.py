@@ -55,3 +55,39 @@ def test_run_packs_what_is_left_and_edges(spark, tmp_path):
     assert out and all(len(r.ids) == 4 * r.length for r in out)
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_repeats_cut_whole_characters_only(spark):
+    passage = "".join(random.Random(9).choice("abcdefgh ") for _ in range(300))
+    other = "".join(random.Random(10).choice("ijklmnop ") for _ in range(300))
+    texts = {  # ä and ö share the first byte, € and ₭ the first two, ä and Ĥ the second
+        1: f"one \ufffd {passage}ä end", 2: f"two {passage}ö \ufffd end",
+        3: f"€{other}🙂3", 4: f"₭{other}🙃4", 5: f"five ä{other}", 6: f"six Ĥ{other}",
+        7: f"only \ufffd äö", 8: None,
+        9: f"{passage}€{other} 9", 10: f"{passage}₭ and {other}",
+    }
+    rows = [(k, t, "de", "s", None) for k, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.repeat_stage(spark, docs, SF).collect()}
+    want = {k: brute_cut(k, texts) for k in texts}
+    assert {k: t for k, (t, _) in got.items()} == want
+    assert want[1] == "one \ufffd end" and want[2] == "two \ufffd end" and want[3] == "3" and want[9] == " 9" and want[10] == " and "
+    assert all(n == (len(t) if t != texts[k] else None) for k, (t, n) in got.items())
+
+
+def brute_cut(key, texts):
+    """Characters of which no byte lies in a 200-byte string that also starts elsewhere."""
+    seen = {}
+    for t in texts.values():
+        d = (t or "").encode()
+        for i in range(len(d) - 199):
+            seen[d[i:i + 200]] = seen.get(d[i:i + 200], 0) + 1
+    if texts[key] is None:
+        return None
+    d, out, at = texts[key].encode(), [], 0
+    cover = {i + j for i in range(len(d) - 199) if seen[d[i:i + 200]] > 1 for j in range(200)}
+    for ch in texts[key]:
+        n = len(ch.encode())
+        out += [] if cover & set(range(at, at + n)) else [ch]
+        at += n
+    return "".join(out)
