@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ..ml.split import exclude_unknown, ratio_split
 from ..operators.relational import category_match
 from ..operators.select import exact_sample
 from ..operators.topn import top_n_per_group
+from ..session import materialize
 from .registry import query
 
 K = 10
@@ -187,7 +189,16 @@ def ml_summary(spark, sf):
 
 
 # ---- model baselines (no SQL form: rows-only checks) ----------------------------
-def _model_metrics(name, topk, sp, k=K):
+# The reference's iterations, its cut of the metrics, and the middle of the ranges it tunes in (geometric where it
+# draws in logs; alpha = a / b - 1 of its confidences).  BPR keeps the step of its own large-batch epochs.
+TOP = 50
+MF = {"rank": 105, "reg": 0.01, "max_iter": 100}
+WMF = {"rank": 150, "reg": 0.01, "max_iter": 50, "alpha": 3161.0}
+EASE = {"lam": 100.0}
+BPR = {"k": 150, "reg": 0.01, "epochs": 500}
+
+
+def _model_metrics(name, topk, sp, k=TOP):
     m = M.ranking_metrics(topk, relevant(sp), k)
     return m.select(F.lit(name).alias("model"), "*")
 
@@ -200,7 +211,7 @@ def _eval_users(sp):
 def ml_mf(spark, sf):
     sp = split(spark, sf).cache()
     tr = sp.where("split = 'train'")
-    top = ML.als_topk(tr, _eval_users(sp), K, implicit=False, rank=8, reg=0.1, max_iter=10, exclude_seen=True)
+    top = ML.als_topk(tr, _eval_users(sp), TOP, implicit=False, exclude_seen=True, **MF)
     return _model_metrics("mf", top, sp)
 
 
@@ -209,8 +220,7 @@ def ml_wmf(spark, sf):
     sp = ratio_split(triplets(fx.reviews(spark, sf), "wmf"), 0.2, 42).cache()
     tr = sp.where("split = 'train'")
     rel_sp = split(spark, sf).cache()
-    top = ML.als_topk(tr, _eval_users(rel_sp), K, implicit=True, rank=8, reg=0.1, max_iter=10, alpha=5.0,
-                      exclude_seen=True)
+    top = ML.als_topk(tr, _eval_users(rel_sp), TOP, implicit=True, exclude_seen=True, **WMF)
     return _model_metrics("wmf", top, rel_sp)
 
 
@@ -219,9 +229,9 @@ def ml_ease(spark, sf):
     sp = ratio_split(triplets(fx.reviews(spark, sf), "ease"), 0.2, 42).cache()
     tr = sp.where("split = 'train'")
     blocks = items_table(spark, sf).select("item_id", F.col("cat_2").alias("block"))
-    w = ML.ease_weights(tr, blocks, lam=100.0).cache()
+    w = ML.ease_weights(tr, blocks, **EASE).cache()
     rel_sp = split(spark, sf).cache()
-    top = ML.ease_topk(tr, w, _eval_users(rel_sp), K)
+    top = ML.ease_topk(tr, w, _eval_users(rel_sp), TOP)
     return _model_metrics("ease", top, rel_sp)
 
 
@@ -251,9 +261,9 @@ def ml_ease_gram(spark, sf):
 def ml_bpr(spark, sf):
     sp = ratio_split(triplets(fx.reviews(spark, sf), "bpr"), 0.2, 42).cache()
     tr = sp.where("split = 'train'")
-    uf, vf = ML.bpr_fit(tr, k=8, epochs=4)
+    uf, vf = ML.bpr_fit(tr, **BPR)
     rel_sp = split(spark, sf).cache()
-    top = ML.factor_topk(uf, vf, _eval_users(rel_sp), K, train=tr)
+    top = ML.factor_topk(uf, vf, _eval_users(rel_sp), TOP, train=tr)
     return _model_metrics("bpr", top, rel_sp)
 
 
@@ -263,27 +273,57 @@ def ml_topk(spark, sf):
     sp = split(spark, sf).cache()
     tr = sp.where("split = 'train'")
     users = exact_sample(tr.select("user_id").distinct(), 100, ["user_id"], seed=7)
-    top = ML.als_topk(tr, users, K, implicit=False, rank=8, reg=0.1, max_iter=10)
+    top = ML.als_topk(tr, users, K, implicit=False, **MF)
     return top.select("user_id", F.col("rank").cast("int").alias("rank"), "item_id")
 
 
-# Search space (the reference's ranges, on ALS's parameters).
-SEARCH_SPACE = {"rank": [4, 8, 16, 32], "reg": [0.001, 0.01, 0.1, 1.0], "max_iter": [5, 10]}
+# The reference's ranges: whole numbers, "log" or plain.
+SEARCH_SPACE = {
+    "mf": {"rank": (10, 200, "int"), "reg": (0.001, 0.1, "log")},
+    "bpr": {"k": (100, 200, "int"), "reg": (0.001, 0.1, "log")},
+    "wmf": {"rank": (50, 250, "int"), "reg": (0.001, 0.1, "log"), "a": (1.0, 10.0, "plain"), "b": (0.0001, 0.01, "log")},
+    "ease": {"lam": (10.0, 1000.0, "log")},
+}
+
+
+def draw(space, rnd):
+    p = {}
+    for name, (low, high, how) in space.items():
+        p[name] = rnd.randint(low, high) if how == "int" else \
+            math.exp(rnd.uniform(math.log(low), math.log(high))) if how == "log" else rnd.uniform(low, high)
+    if "a" in p:
+        p["alpha"] = p.pop("a") / p.pop("b") - 1
+    return p
 
 
 @query("ml_search")
-def ml_search(spark, sf, trials: int = 15, seed: int = 42, k: int = 50):
-    """Seeded random search over ALS settings maximising F1@k; one row per trial."""
+def ml_search(spark, sf, trials: int = 15, seed: int = 42, k: int = TOP, models=tuple(SEARCH_SPACE),
+              iterations: int | None = None):
+    """Seeded random search over each model's settings maximising F1@k; one row per model and trial.
+
+    ``iterations`` replaces the models' own (MF 100, WMF 50, BPR 500)."""
     sp = split(spark, sf).cache()
-    tr = ML.Coded(sp.where("split = 'train'"))
     users = _eval_users(sp).cache()
-    rnd = random.Random(seed)
+    blocks = items_table(spark, sf).select("item_id", F.col("cat_2").alias("block"))
     out = None
-    for t in range(trials):
-        p = {name: rnd.choice(vals) for name, vals in SEARCH_SPACE.items()}
-        top = ML.als_topk(tr, users, k, rank=p["rank"], reg=p["reg"], max_iter=p["max_iter"], exclude_seen=True)
-        m = M.ranking_metrics(top, relevant(sp), k)
-        row = m.select(F.lit(t).alias("trial"), F.lit(p["rank"]).alias("rank"), F.lit(p["reg"]).alias("reg"),
-                       F.lit(p["max_iter"]).alias("max_iter"), "*")
-        out = row if out is None else out.unionByName(row)
+    for model in models:
+        tr = ratio_split(triplets(fx.reviews(spark, sf), model), 0.2, 42).where("split = 'train'")
+        tr = ML.Coded(tr) if model in ("mf", "wmf") else tr.cache()
+        rnd = random.Random(f"{seed}|{model}")
+        rounds = {"mf": MF.get("max_iter"), "wmf": WMF.get("max_iter"), "bpr": BPR.get("epochs"), "ease": None}[model]
+        rounds = iterations or rounds if rounds else None
+        for t in range(trials):
+            p = draw(SEARCH_SPACE[model], rnd)
+            if model == "ease":
+                top = ML.ease_topk(tr, ML.ease_weights(tr, blocks, **p), users, k)
+            elif model == "bpr":
+                top = ML.factor_topk(*ML.bpr_fit(tr, epochs=rounds, **p), users, k, train=tr)
+            else:
+                top = ML.als_topk(tr, users, k, implicit=model == "wmf", max_iter=rounds, exclude_seen=True, **p)
+            m = M.ranking_metrics(top, relevant(sp), k)
+            row = m.select(F.lit(model).alias("model"), F.lit(t).alias("trial"), F.lit(p.get("rank", p.get("k"))).cast("int").alias("rank"),
+                           F.lit(p.get("reg", p.get("lam"))).cast("double").alias("reg"), F.lit(p.get("alpha")).cast("double").alias("alpha"),
+                           F.lit(rounds).cast("int").alias("max_iter"), "*")
+            row = materialize(row, spark, f"search-{model}-{t}")  # a trial's plan ends here
+            out = row if out is None else out.unionByName(row)
     return out
