@@ -1,11 +1,11 @@
-"""The ten operators as registered queries over their whole tables, with production parameters."""
+"""The operators as registered queries over their whole tables, with production parameters."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, hnsw, jaccard, langid, packing, secrets, suffix, urls, vectors, warc
+from . import bpe, codes, counts, hnsw, jaccard, langid, packing, secrets, suffix, urls, vectors, warc, whitening
 from .common import Scratch, table
 
 QUERIES: dict = {}
@@ -99,3 +99,52 @@ def op4_vector_near_dups(spark, sf_dir):
 def op5_hnsw(spark, sf_dir):
     """The 20 nearest of every embedding whose vec_id is divisible by 20."""
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    """All embeddings projected on the 32 leading components of their covariance, scaled to unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    """Codes of all embeddings by 8 codebooks of 16 entries after 6 rounds."""
+    return codes.compress(table(spark, sf_dir, "embeddings"), parts=8, size=16, rounds=6)
+
+
+def _codes_sql(parts: int = 8, size: int = 16, rounds: int = 6) -> str:
+    steps = [f"""
+rows as materialized (select row_number() over () as r, vec_id, label,
+  list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as q
+  from embeddings where embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+cells as materialized (select r, vec_id, label, pos // (len(q) // {parts}) as part, pos % (len(q) // {parts}) as place, q[pos + 1] as x
+  from rows, range(0, 64) as places(pos)),
+first as (select r, row_number() over (order by vec_id) - 1 as entry from rows qualify entry < {size}),
+book0 as materialized (select part, entry, place, x as c from cells join first using (r))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} as materialized (select r, part, min(struct_pack(far := far, entry := entry)) as best from (
+  select r, part, entry, sum((x - c) * (x - c)) as far from cells join book{i} using (part, place) group by all) group by all)""")
+        if i < rounds:
+            steps.append(f"""
+book{i + 1} as materialized (select part, entry, place, coalesce(cast((s - ((s % n) + n) % n) // n as bigint), c) as c from book{i} left join (
+  select part, best.entry as entry, place, sum(x) as s, count(*) as n from cells join near{i} using (r, part) group by all) using (part, entry, place))""")
+    return f"""with {','.join(steps)},
+coded as (select r, string_agg(printf('%02x', cast(best.entry as integer)), '' order by part) as code, cast(sum(best.far) as bigint) as error
+  from near{rounds} group by r)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+  (select sha256(string_agg(cast(c as varchar), ',' order by part, entry, place)) from book{rounds}) as codebooks_sha256
+from coded join rows using (r)"""
+
+
+ORACLE["op12_vector_codes"] = _codes_sql()
+
+
+@query
+def op13_token_counts(spark, sf_dir):
+    """Token counts of every whole text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
+    told = counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id", "n_bytes"])
+    return told.select("*", (F.col("n_tokens") > 2048).alias("over_limit"))
