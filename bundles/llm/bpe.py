@@ -15,8 +15,6 @@ so the time is linear in the input.
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
-
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -24,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import append_columns
+from .common import append_columns, kept
 from .tokens import ID, PartEncoder, id_lists
 
 #: Pairs and words kept per worker; bounds memory only.
@@ -106,8 +104,11 @@ class BacktrackingBpe:
         return out
 
 
-@lru_cache(maxsize=4)
 def _coder(path: str, pattern: str) -> tuple[BacktrackingBpe, PartEncoder]:
+    return kept("bpe", (path, pattern), lambda: _new_coder(path, pattern))
+
+
+def _new_coder(path: str, pattern: str) -> tuple[BacktrackingBpe, PartEncoder]:
     bpe, words, split = BacktrackingBpe(path), {}, regex.compile(pattern)
 
     def word(w: str) -> bytes:
@@ -123,8 +124,8 @@ def _coder(path: str, pattern: str) -> tuple[BacktrackingBpe, PartEncoder]:
     return bpe, PartEncoder(lambda texts: [b"".join(map(word, split.findall(t))) for t in texts], MAX_PARTS)
 
 
-def encode_bpe(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` plus ``ids`` array<int>: each match of ``pattern`` in the whole text encoded separately.
+def encode_bpe(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", names: list[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``names``) plus ``ids`` array<int>: each match of ``pattern`` in the whole text encoded separately.
 
     Null and empty texts give an empty array; no special tokens are known, so
     their strings are ordinary text.  Row-wise without a shuffle: repeated
@@ -136,10 +137,10 @@ def encode_bpe(df: DataFrame, path: str, pattern: str, text: str = "text", ids:
         encode = _coder(path, pattern)[1].encode
         return [id_lists([encode(t or "") for t in texts.to_pylist()])]
 
-    return append_columns(df, [text], [T.StructField(ids, T.ArrayType(T.IntegerType(), False))], run)
+    return append_columns(df, [text], [T.StructField(ids, T.ArrayType(T.IntegerType(), False))], run, names)
 
 
-def decode_bpe(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+def decode_bpe(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded", names: list[str] | None = None) -> DataFrame:
     """``df`` plus ``out`` binary: the bytes of the ids, joined.  A null list gives empty bytes."""
     def run(lists: pa.Array) -> list[pa.Array]:
         token = _coder(path, pattern)[0].token
@@ -147,4 +148,4 @@ def decode_bpe(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: st
         values, ends = lists.values[int(ends[0]):int(ends[-1])].to_pylist(), ends - ends[0]
         return [pa.array([b"".join(map(token.__getitem__, values[a:b])) for a, b in zip(ends[:-1], ends[1:])], pa.binary())]
 
-    return append_columns(df, [ids], [T.StructField(out, T.BinaryType())], run)
+    return append_columns(df, [ids], [T.StructField(out, T.BinaryType())], run, names)

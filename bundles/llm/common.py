@@ -17,24 +17,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named input columns, under the operator's own names.
+#: What a worker process keeps from task to task, for one operator at a time.
+_kept: dict = {}
 
-    ``pick(df, key="doc_id", text="text")``: every other column is ignored, so
-    extra columns cannot clash with what the operator adds.
+
+def kept(operator: str, key, make: Callable):
+    """``make()``, kept by this worker process until another operator (or another ``key`` of it) asks.
+
+    Workers are reused by later operators of a job chain; this way only one
+    operator's tables take up memory at a time.
     """
-    return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
+    if (operator, key) not in _kept:
+        _kept.clear()
+        _kept[operator, key] = make()
+    return _kept[operator, key]
 
 
 def append_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField],
-                   fn: Callable[..., list[pa.Array]]) -> DataFrame:
-    """``df`` with columns computed per Arrow batch; all other columns pass through untouched.
+                   fn: Callable[..., list[pa.Array]], names: list[str] | None = None) -> DataFrame:
+    """``df`` with columns computed per Arrow batch; its other columns, or those of ``names``, pass through untouched.
 
     ``fn`` gets one Arrow array per input and returns one per field.  Columns
     of ``df`` that bear a new field's name are replaced.
     """
     base = df.select(*[f"`{c}`" for c in df.columns if c not in {f.name for f in fields} - set(inputs)])
-    keep = [c for c in base.columns if c not in {f.name for f in fields}]
+    keep = [c for c in base.columns if c not in {f.name for f in fields} and (names is None or c in names)]
     schema = T.StructType([base.schema[c] for c in keep] + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

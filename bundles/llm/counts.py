@@ -32,7 +32,6 @@ import json
 import os
 import re
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import kept
+
 #: Characters read together; longer texts are cut at white space.  Bounds memory only.
 BATCH_CHARS = 1_000_000
 #: Symbols in a chunk.
@@ -341,9 +342,8 @@ class Counter:
         return totals
 
 
-@lru_cache(maxsize=1)
 def _counter(path: str) -> Counter:
-    return Counter(path)
+    return kept("counts", path, lambda: Counter(path))
 
 
 def count_tokens(df: DataFrame, path: str, text: str = "text", out: str = "n_tokens", keep: list[str] | None = None) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, slices
+from .common import Scratch, components, kept, slices
 
 #: A class's first leaders are those of so many of its first and of its last shared tokens.
 LEADER_KEYS = 4
@@ -44,7 +44,6 @@ COUNT_AT_ONCE = 4_000_000
 MAX_WORDS = 250_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_words: dict[bytes, int] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,15 +57,16 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII space only
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_words) > MAX_WORDS:
-        _words.clear()
+    known = kept("jaccard", "words", dict)
+    if len(known) > MAX_WORDS:
+        known.clear()
     try:
-        h = list(map(_words.__getitem__, words))
+        h = list(map(known.__getitem__, words))
     except KeyError:
         for w in words:
-            if w not in _words:
-                _words[w] = xxhash.xxh3_64_intdigest(w)
-        h = list(map(_words.__getitem__, words))
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
+        h = list(map(known.__getitem__, words))
     h = np.array(h, np.uint64)
     span = min(width, len(h))
     out = np.full(len(h) - span + 1, span, np.uint64)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns
+from .common import append_columns, kept
 
 #: The mark of a word's start in the vocabulary.
 MARK = "▁"
@@ -200,19 +200,13 @@ class Scorer:
         return [np.fromiter(own.values(), float, len(own)) @ self.table[list(map(self.row.__getitem__, own))] for own in words]
 
 
-#: The scorer that a worker process keeps from task to task, under its model's mark.
-_scorers: dict[str, Scorer] = {}
-
-
 def scorer(model: LanguageModel) -> Scorer:
-    if model.mark not in _scorers:
-        _scorers.clear()
-        _scorers[model.mark] = Scorer(model)
-    return _scorers[model.mark]
+    return kept("langid", model.mark, lambda: Scorer(model))
 
 
-def predict(df: DataFrame, model: LanguageModel, text: str = "text", lang_out: str = "lang_pred", score_out: str = "lang_score") -> DataFrame:
-    """``df`` plus the likeliest language and its posterior probability under equal priors.
+def predict(df: DataFrame, model: LanguageModel, text: str = "text", lang_out: str = "lang_pred", score_out: str = "lang_score",
+            names: list[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``names``) plus the likeliest language and its posterior probability under equal priors.
 
     Whole texts.  Null texts, texts without a letter, and any text when no
     language could be learned get ``und`` and 0.0.  Ties go to the language
@@ -231,7 +225,7 @@ def predict(df: DataFrame, model: LanguageModel, text: str = "text", lang_out: s
 
     made = df.withColumn("has_letter__", F.coalesce(F.rlike(F.col(f"`{text}`"), F.lit(r"\p{L}")), F.lit(False)))
     return append_columns(made, [text, "has_letter__"], [T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())],
-                          run).drop("has_letter__")
+                          run, [c for c in df.columns if c != "has_letter__" and (names is None or c in names)])
 
 
 def held_out(key: str = "doc_id"):

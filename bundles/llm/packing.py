@@ -11,7 +11,6 @@ memory is bounded by the group size and groups run in parallel.
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import kept, slices
 from .tokens import ID, PartEncoder
 
 #: Pieces per first-fit group, on average; a parameter of ``pack``.
@@ -29,22 +28,32 @@ GROUP_PIECES = 4096
 PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str) -> PartEncoder:
+    return kept("packing", path, lambda: _new_encoder(path))
+
+
+def _new_encoder(path: str) -> PartEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
+    special = [x.content for x in t.get_added_tokens_decoder().values()]
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
     size = np.array([len(t.id_to_token(i)) for i in range(t.get_vocab_size())])  # a character stands for a byte
 
     def encode(texts: list[str]) -> list[bytes]:
         """All texts in one call; their ids are told apart by the bytes they cover."""
-        ids = np.array(t.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, dtype=ID)
+        ids = np.array(plain.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, dtype=ID)
         ends = np.searchsorted(np.cumsum(size[ids]), np.cumsum([len(x.encode()) for x in texts]), side="left") + 1
         ends, data = (ends * ID.itemsize).tolist(), ids.tobytes()
         return [data[a:b] for a, b in zip([0] + ends, ends)]
 
-    return PartEncoder(encode)
+    def whole(text: str) -> bytes | None:
+        """The library's own ids of a text that holds an added token's string, which it takes for that token."""
+        if any(s in text for s in special):
+            return np.array(t.encode(text, add_special_tokens=False).ids, dtype=ID).tobytes()
+
+    return PartEncoder(encode, whole=whole)
 
 
 def token_pieces(df: DataFrame, tokenizer: str, seq_len: int = 2048, end_id: int = 1,

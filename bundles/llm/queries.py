@@ -22,7 +22,7 @@ def op1_byte_bpe(spark, sf_dir):
     """Encode every whole text, decode the ids, and return digests of both."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode_bpe(docs, *vocabulary).drop("text")
+    coded = bpe.encode_bpe(docs, *vocabulary, names=["doc_id"])
     back = bpe.decode_bpe(coded, *vocabulary)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
@@ -58,7 +58,7 @@ def op7_language_id(spark, sf_dir):
     """Predict every document's language from the folds that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out())
     model = langid.train(docs.where("not held_out"), public_tokenizers.path("piece_bpe_32k.model"))
-    return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+    return langid.predict(docs.drop("lang"), model, names=["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
 @query
