@@ -16,6 +16,8 @@ import pyarrow as pa
 ID = np.dtype("<u4")
 #: Parts kept per worker; the table is emptied when full.  Bounds memory only, never the result.
 MAX_PARTS = 1_000_000
+#: First words kept per worker.
+MAX_HEADS = 100_000
 #: Longer parts are encoded but not kept.
 MAX_KEPT = 64
 
@@ -25,11 +27,13 @@ class PartEncoder:
 
     ``backend(list of strings) -> list of id bytes`` gets one string, or
     several that each start at a safe space, so that it may join them.
+    ``whole(text)`` gives the ids of a text that must not be cut, else None.
     """
 
-    def __init__(self, backend, max_parts: int = MAX_PARTS):
-        self.backend, self.max_parts = backend, max_parts
+    def __init__(self, backend, max_parts: int = MAX_PARTS, whole=lambda text: None):
+        self.backend, self.max_parts, self.whole = backend, max_parts, whole
         self.rest: dict[str, bytes | None] = {}  # parts after a space, without it; None: encode the text whole
+        self.heads: dict[str, bytes] = {}  # what stands before the first space
 
     def _fill(self, parts: list[str]) -> dict[str, bytes | None]:
         new, own = [], {}
@@ -49,6 +53,9 @@ class PartEncoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        own = self.whole(text)
+        if own is not None:
+            return own
         head, *parts = text.split(" ")
         if not parts or not head or head[-1].isspace():
             return self.backend([text])[0]
@@ -61,7 +68,14 @@ class PartEncoder:
             body = b"".join(found)
         except TypeError:
             return self.backend([text])[0]
-        return self.backend([head])[0] + body
+        first = self.heads.get(head)
+        if first is None:
+            first = self.backend([head])[0]
+            if len(head) <= MAX_KEPT:
+                if len(self.heads) >= MAX_HEADS:
+                    self.heads.clear()
+                self.heads[head] = first
+        return first + body
 
 
 def id_lists(encoded: list[bytes]) -> pa.Array:
