@@ -183,4 +183,5 @@ def archive(df: DataFrame, min_revisit_bytes: int = 0, key: str = "page_id", url
     folder = scratch.path("archives")
     manifest = scratch.write(write_archives(told, folder), "manifest")
     listed = manifest.select(F.concat(F.lit(f"{folder}/"), "path").alias("path"))
-    return read_archives(listed.repartition("path")), manifest
+    archives = listed.count()  # a read task per archive
+    return read_archives(listed.repartition(max(1, archives))), manifest
