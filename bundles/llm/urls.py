@@ -25,6 +25,9 @@ from .common import Scratch
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 #: Words that mark a host as unwanted when training labels are made.
 SEEDS = ("adult", "ads", "bet", "bets", "casino", "pills", "poker", "porn", "track", "xxx")
+#: A seed word is at least this share of all words, and a string that is no word counts as this share; so that a
+#: verdict follows from the words' shares, whatever the number of pages.
+SEED_SHARE, UNSEEN_SHARE = 0.01, 1e-7
 LONGEST_WORD = 20
 #: A label longer than the 63 characters that DNS allows is one token.
 LONGEST_LABEL = 63
@@ -55,9 +58,9 @@ def shape_of(path: Column) -> Column:
 
 
 def word_counts(pages: DataFrame, html: str, wanted: DataFrame) -> DataFrame:
-    """Counts of the ``wanted`` words in the visible text of all pages."""
+    """Counts of the ``wanted`` words in the visible text of all pages; longer words are none."""
     visible = F.regexp_replace(F.coalesce(F.col(f"`{html}`"), F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
-    words = pages.select(F.explode(F.regexp_extract_all(F.lower(visible), F.lit(rf"[a-z]{{1,{LONGEST_WORD}}}"), F.lit(0))).alias("word"))
+    words = pages.select(F.explode(F.regexp_extract_all(F.lower(visible), F.lit(rf"(?<![a-z])[a-z]{{1,{LONGEST_WORD}}}(?![a-z])"), F.lit(0))).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).join(wanted, "word")
 
 
@@ -88,21 +91,21 @@ def segment_labels(labels: DataFrame, pages: DataFrame, html: str, seeds=SEEDS)
     counts = word_counts(pages, html, held.select("word").distinct())
     seed = F.col("word").isin(list(seeds))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    known = held.join(counts, "word", "left").where(F.col("n").isNotNull() | seed).withColumn(
-        "n", F.coalesce("n", F.lit(0)) + F.when(seed, 50).otherwise(0))
-    grouped = known.groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("known"))  # at most 63 * 20 words
-    joined = labels.join(grouped, "label", "left").join(F.broadcast(total), F.lit(True))  # one row
+    known = held.join(counts, "word", "left").where(F.col("n").isNotNull() | seed).join(F.broadcast(total), F.lit(True))  # one row
+    share = F.coalesce(F.try_divide(F.col("n"), F.col("total")), F.lit(0.0))
+    known = known.withColumn("p", F.when(seed, F.greatest(share, F.lit(SEED_SHARE))).otherwise(share))
+    grouped = known.groupBy("label").agg(F.collect_list(F.struct("word", "p")).alias("known"))  # at most 63 * 20 words
+    joined = labels.join(grouped, "label", "left")
 
     @F.pandas_udf("array<string>")
-    def split(label: pd.Series, known: pd.Series, total: pd.Series) -> pd.Series:
+    def split(label: pd.Series, known: pd.Series) -> pd.Series:
         out = []
-        for text, words, n in zip(label, known, total):
-            all_n = float(n) + 1000.0
-            log_p = {} if words is None else {w["word"]: math.log(w["n"] / all_n) for w in words}
-            out.append(viterbi(text, log_p, -math.log(all_n)))
+        for text, words in zip(label, known):
+            log_p = {} if words is None else {w["word"]: math.log(w["p"]) for w in words}
+            out.append(viterbi(text, log_p, math.log(UNSEEN_SHARE)))
         return pd.Series(out)
 
-    return joined.select("label", split("label", "known", "total").alias("words"))
+    return joined.select("label", split("label", "known").alias("words"))
 
 
 def filter_urls(df: DataFrame, rules=RULES, seeds=SEEDS, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -113,7 +116,9 @@ def filter_urls(df: DataFrame, rules=RULES, seeds=SEEDS, key: str = "page_id", u
     path tokens gets ``allow``).  Null urls and urls without ``://`` have an
     empty host and path.  Repeated rows get equal rows; the key is only
     carried, so it may be null; other columns are ignored; an empty table
-    gives an empty result.
+    gives an empty result.  A host's label longer than the 63 characters that
+    DNS allows is one token, whatever it holds; words of the pages longer than
+    20 letters are no words; a token counts as often as it occurs in its url.
     """
     scratch = Scratch(df.sparkSession, "urls")
     pages = df.select(F.col(f"`{key}`").alias("page_id"), F.col(f"`{url}`").alias("url"))
@@ -126,12 +131,12 @@ def filter_urls(df: DataFrame, rules=RULES, seeds=SEEDS, key: str = "page_id", u
     short = names.select("label").distinct().where(F.length("label") <= LONGEST_LABEL)
     words = scratch.write(segment_labels(short, df, html, seeds), "words")
     hosts = names.join(words, "label", "left").groupBy("host").agg(
-        F.array_distinct(F.flatten(F.collect_list(F.coalesce("words", F.array("label"))))).alias("words"))
+        F.flatten(F.array_sort(F.collect_list(F.coalesce("words", F.array("label"))))).alias("words"))
     hosts = hosts.select("host", "words", F.arrays_overlap("words", F.array(*map(F.lit, seeds))).alias("bad"))
     scored = scratch.write(shapes.join(hosts, "host", "left").select(
         "host", "shape", "n", F.coalesce("bad", F.lit(False)).alias("bad"),
-        F.array_distinct(F.concat(F.coalesce("words", F.array().cast("array<string>")),
-                                  F.transform(F.filter(F.split("shape", r"[^a-z0-9]+"), lambda x: x != ""), lambda x: F.concat(F.lit("/"), x)))).alias("tokens")), "tokens")
+        F.concat(F.coalesce("words", F.array().cast("array<string>")),
+                 F.transform(F.filter(F.split("shape", r"[^a-z0-9]+"), lambda x: x != ""), lambda x: F.concat(F.lit("/"), x))).alias("tokens")), "tokens")
 
     tokens = scored.select("host", "shape", "n", "bad", F.explode("tokens").alias("token"))
     by_class = [F.sum(F.when(F.col("bad") == c, F.col("n")).otherwise(0)).alias(k) for k, c in (("ok", False), ("no", True))]
