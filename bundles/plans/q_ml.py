@@ -8,6 +8,8 @@ import random
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
+from ..ml import bpr as BP
+from ..ml import ease as EA
 from ..ml import metrics as M
 from ..ml import models as ML
 from ..ml.data import triplets
@@ -190,16 +192,23 @@ def ml_summary(spark, sf):
 
 # ---- model baselines (no SQL form: rows-only checks) ----------------------------
 # The reference's iterations, its cut of the metrics, and the middle of the ranges it tunes in (geometric where it
-# draws in logs; alpha = a / b - 1 of its confidences).  BPR keeps the step of its own large-batch epochs.
+# draws in logs; alpha = a / b - 1 of its confidences).
 TOP = 50
 MF = {"rank": 105, "reg": 0.01, "max_iter": 100}
 WMF = {"rank": 150, "reg": 0.01, "max_iter": 50, "alpha": 3161.0}
 EASE = {"lam": 100.0}
-BPR = {"k": 150, "reg": 0.01, "epochs": 500}
+BPR = {"k": 150, "lr": 0.007, "reg": 0.01, "epochs": 500}
+#: A test row is relevant from this value on: ratings of 4, and 0.5 for the other models' labels.
+RELEVANT = {"mf": 4.0, "wmf": 0.5, "bpr": 0.5, "ease": 0.5}
+
+
+def model_split(spark, sf, model):
+    """The model's own interactions, split 4 to 1."""
+    return materialize(ratio_split(triplets(fx.reviews(spark, sf), model), 0.2, 42), spark, f"split-{model}")
 
 
 def _model_metrics(name, topk, sp, k=TOP):
-    m = M.ranking_metrics(topk, relevant(sp), k)
+    m = M.ranking_metrics(topk, relevant(sp, RELEVANT[name]), k)
     return m.select(F.lit(name).alias("model"), "*")
 
 
@@ -209,40 +218,63 @@ def _eval_users(sp):
 
 @query("ml_mf")
 def ml_mf(spark, sf):
-    sp = split(spark, sf).cache()
-    tr = sp.where("split = 'train'")
-    top = ML.als_topk(tr, _eval_users(sp), TOP, implicit=False, exclude_seen=True, **MF)
+    sp = model_split(spark, sf, "mf")
+    top = ML.als_topk(sp.where("split = 'train'"), _eval_users(sp), TOP, implicit=False, exclude_seen=True, **MF)
     return _model_metrics("mf", top, sp)
 
 
+@query("ml_mf_offsets", SQL_SPLIT + """
+, mu as (select avg(cast(value as double)) as mean from tr)
+, bi as (select item_id, avg(cast(value as double)) - any_value(mean) as b_i from tr, mu group by 1)
+, bu as (select user_id, avg(cast(value as double) - mean - b_i) as b_u from tr join bi using (item_id), mu group by 1)
+select user_id, item_id, round(cast(value as double) - mean - b_i - b_u, 6) + 0.0 as rest from tr join bi using (item_id) join bu using (user_id), mu""")
+def ml_mf_offsets(spark, sf):
+    """What mean, item and user biases leave of every training rating: the values MF's factors are fitted to."""
+    tr = split(spark, sf).where("split = 'train'").withColumn("value", F.col("value").cast("double"))
+    mean, b_i, b_u = ML.offsets(tr)
+    rest = F.col("value") - F.lit(mean) - F.col("b_i") - F.col("b_u")
+    return tr.join(b_i, "item_id").join(b_u, "user_id").select("user_id", "item_id", (F.round(rest, 6) + 0.0).alias("rest"))
+
+
 @query("ml_wmf")
 def ml_wmf(spark, sf):
-    sp = ratio_split(triplets(fx.reviews(spark, sf), "wmf"), 0.2, 42).cache()
-    tr = sp.where("split = 'train'")
-    rel_sp = split(spark, sf).cache()
-    top = ML.als_topk(tr, _eval_users(rel_sp), TOP, implicit=True, exclude_seen=True, **WMF)
-    return _model_metrics("wmf", top, rel_sp)
+    sp = model_split(spark, sf, "wmf")
+    top = ML.als_topk(sp.where("split = 'train'"), _eval_users(sp), TOP, implicit=True, exclude_seen=True, **WMF)
+    return _model_metrics("wmf", top, sp)
 
 
 @query("ml_ease")
 def ml_ease(spark, sf):
-    sp = ratio_split(triplets(fx.reviews(spark, sf), "ease"), 0.2, 42).cache()
-    tr = sp.where("split = 'train'")
-    blocks = items_table(spark, sf).select("item_id", F.col("cat_2").alias("block"))
-    w = ML.ease_weights(tr, blocks, **EASE).cache()
-    rel_sp = split(spark, sf).cache()
-    top = ML.ease_topk(tr, w, _eval_users(rel_sp), TOP)
-    return _model_metrics("ease", top, rel_sp)
+    sp = model_split(spark, sf, "ease")
+    return _model_metrics("ease", EA.topk(sp.where("split = 'train'"), _eval_users(sp), TOP, **EASE), sp)
 
 
-@query("ml_ease_gram", """
+SQL_EASE_TRAIN = """
 , tr_e as (select * from (
     select user_id, item_id, value, case when cast(('0x' || substr(md5(concat('42|', user_id, '|', item_id)), 1, 8)) as bigint)
         / 4294967296.0 < 0.2 then 'test' else 'train' end as split
     from (select user_id, item_id, max(value) as value from (
         select cast(user_id as varchar) as user_id, cast(parent_asin as varchar) as item_id,
                cast((coalesce(cast(verified_purchase as int), 0) = 1 or coalesce(helpful_vote, 0) > 0) as float) as value
-        from fx_reviews) group by 1, 2)) where split = 'train')
+        from fx_reviews) group by 1, 2)) where split = 'train')"""
+
+
+@query("ml_ease_normal", SQL_EASE_TRAIN + """
+, x as (select distinct user_id, item_id from tr_e where value > 0)
+, g as (select a.item_id as item1, b.item_id as item2, cast(count(*) as double) as g
+        from x a join x b on a.user_id = b.user_id and a.item_id <> b.item_id group by 1, 2)
+select item2 as item_id, count(*) as pairs, sum(g) as g_sum, sum(g * g) as g_squares from g group by 1""")
+def ml_ease_normal(spark, sf):
+    """The solved weights against their definition: off the diagonal (G + lam I) B is the Gram matrix G.
+
+    Every entry of the product is rounded to 3 places; per item, the number, sum
+    and sum of squares of those that are not 0 must be G's own.
+    """
+    sp = ratio_split(triplets(fx.reviews(spark, sf), "ease"), 0.2, 42, exclude_unknowns=False)
+    return EA.normal_digest(sp.where("split = 'train'"), **EASE)
+
+
+@query("ml_ease_gram", SQL_EASE_TRAIN + """
 , x as (select distinct t.user_id, t.item_id, concat(i.cat_2, '#0') as block from tr_e t
         join (select distinct cast(parent_asin as varchar) as item_id, cat_2 from fx_products where cat_2 is not null) i
         using (item_id) where t.value > 0)
@@ -259,12 +291,10 @@ def ml_ease_gram(spark, sf):
 
 @query("ml_bpr")
 def ml_bpr(spark, sf):
-    sp = ratio_split(triplets(fx.reviews(spark, sf), "bpr"), 0.2, 42).cache()
+    sp = model_split(spark, sf, "bpr")
     tr = sp.where("split = 'train'")
-    uf, vf = ML.bpr_fit(tr, **BPR)
-    rel_sp = split(spark, sf).cache()
-    top = ML.factor_topk(uf, vf, _eval_users(rel_sp), TOP, train=tr)
-    return _model_metrics("bpr", top, rel_sp)
+    uf, vf = BP.fit(tr, **BPR)
+    return _model_metrics("bpr", ML.factor_topk(uf, vf, _eval_users(sp), TOP, train=tr), sp)
 
 
 @query("ml_topk")
@@ -277,10 +307,44 @@ def ml_topk(spark, sf):
     return top.select("user_id", F.col("rank").cast("int").alias("rank"), "item_id")
 
 
+DIMS = 8
+
+
+def _hash_factor(id_, d, part):
+    """A number in [0, 1) from md5 of ``part|id|d``, in either engine."""
+    h = F.md5(F.concat(F.lit(f"{part}|"), F.col(id_).cast("string"), F.lit(f"|{d}")))
+    return F.conv(F.substring(h, 1, 6), 16, 10).cast("bigint") / F.lit(16777216.0)
+
+
+def _sql_factor(id_, d, part):
+    return f"cast(('0x' || substr(md5(concat('{part}|', cast({id_} as varchar), '|{d}')), 1, 6)) as bigint) / 16777216.0"
+
+
+@query("ml_topk_factors", f"""
+, uf as (select cast(c_custkey as varchar) as user_id, [{", ".join(f"cast({_sql_factor('c_custkey', d, 'u')} - 0.5 as double)" for d in range(DIMS))}] as f
+    from customer)
+, vf as (select cast(p_partkey as varchar) as item_id, [{", ".join(f"cast(({_sql_factor('p_partkey', d, 'i')} - 0.5) / (0.02 + {_sql_factor('p_partkey', DIMS, 'i')}) as double)" for d in range(DIMS))}] as f
+    from part)
+, seen as (select distinct cast(user_id as varchar) as user_id, cast(parent_asin as varchar) as item_id from fx_reviews)
+, sc as (select user_id, item_id, list_inner_product(uf.f, vf.f) as score from uf, vf)
+select user_id, item_id, cast(rank as int) as rank, round(score, 6) as score from (
+  select *, row_number() over (partition by user_id order by round(score, 9) desc, item_id) as rank
+  from sc anti join seen using (user_id, item_id)) where rank <= {K}""")
+def ml_topk_factors(spark, sf):
+    """Factor scoring itself: every customer's best unseen parts by inner product of hashed factors with norms of many sizes."""
+    u = fx.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("user_id"),
+                                               F.array(*[_hash_factor("c_custkey", d, "u") - 0.5 for d in range(DIMS)]).alias("f"))
+    v = fx.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("item_id"), F.array(
+        *[(_hash_factor("p_partkey", d, "i") - 0.5) / (0.02 + _hash_factor("p_partkey", DIMS, "i")) for d in range(DIMS)]).alias("f"))
+    seen = fx.reviews(spark, sf).select(F.col("user_id").cast("string").alias("user_id"), F.col("parent_asin").cast("string").alias("item_id"))
+    top = ML.factor_topk(u, v, u, K, train=seen)
+    return top.select("user_id", "item_id", F.col("rank").cast("int").alias("rank"), F.round("score", 6).alias("score"))
+
+
 # The reference's ranges: whole numbers, "log" or plain.
 SEARCH_SPACE = {
     "mf": {"rank": (10, 200, "int"), "reg": (0.001, 0.1, "log")},
-    "bpr": {"k": (100, 200, "int"), "reg": (0.001, 0.1, "log")},
+    "bpr": {"k": (100, 200, "int"), "lr": (0.001, 0.05, "log"), "reg": (0.001, 0.1, "log")},
     "wmf": {"rank": (50, 250, "int"), "reg": (0.001, 0.1, "log"), "a": (1.0, 10.0, "plain"), "b": (0.0001, 0.01, "log")},
     "ease": {"lam": (10.0, 1000.0, "log")},
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -64,6 +65,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_path_of(spark: SparkSession, name: str, inputs: list[str]) -> str:
+    """The path under the shared folder that belongs to these input files: it changes when a file, its size or its time does."""
+    sc = spark.sparkContext
+    told = []
+    for path in inputs:
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(at)
+        told += sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in files)
+    return f"{checkpoint_root(spark)}/{name}-{hashlib.sha256(repr(told).encode()).hexdigest()[:16]}"
+
+
 def materialize(df, spark: SparkSession | None = None, name: str = "stage"):
     """Cut lineage by writing parquet to the shared folder and reading it back.
 
@@ -73,4 +85,13 @@ def materialize(df, spark: SparkSession | None = None, name: str = "stage"):
     spark = spark or df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop_table(df) -> None:
+    """Remove the files of a frame that ``materialize`` returned, once nothing reads them any more."""
+    sc = df.sparkSession.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
