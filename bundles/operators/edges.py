@@ -9,9 +9,11 @@ instead of one.  Every pair is then aggregated right away.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .select import global_index
+
 
 def basket_pairs(members: DataFrame, basket_col: str = "collection_id", item_col: str = "item_id",
                  block_size: int = 256, assume_distinct: bool = False) -> DataFrame:
@@ -85,11 +87,6 @@ def popularity(patterns: DataFrame) -> DataFrame:
 
 
 def rank_popularity(pop: DataFrame) -> DataFrame:
-    """Adds a 0-based ``pop_rank`` (popularity desc, item asc).
-
-    The table has one row per frequent item, which is bounded by the total
-    item occurrences divided by the minimum support, so one ordered window
-    over it is fine.
-    """
-    w = Window.orderBy(F.desc("popularity"), F.asc("item"))
-    return pop.select("item", "popularity", (F.row_number().over(w) - 1).cast("bigint").alias("pop_rank"))
+    """Adds a 0-based ``pop_rank`` (popularity desc, item asc), by a range-partitioned sort."""
+    ranked = global_index(pop.select("item", "popularity"), [F.desc("popularity"), F.asc("item")], "pop_rank")
+    return ranked.select("item", "popularity", F.col("pop_rank").cast("bigint").alias("pop_rank"))

@@ -1,4 +1,4 @@
-"""Profiling aggregates: one pass per report, results as small DataFrames."""
+"""Profiling aggregates: one pass per report (a few for exact quartiles), results as small DataFrames."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quantiles import quantiles
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -16,22 +18,27 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """count, mean, std (sample), min, quartiles (interpolated), max per column, one pass.
+    """count, mean, std (sample), min, quartiles (interpolated), max per column.
 
-    ``exact=False`` uses ``percentile_approx`` (bounded memory at any scale).
+    One pass for all but the quartiles.  Exact quartiles come from a few
+    histogram passes (``quantiles.py``; not-a-number and infinite values take no
+    part in them); ``exact=False`` takes ``percentile_approx`` in the one pass.
     """
     cols = list(cols or numeric_columns(df))
+    shares = [0.25, 0.5, 0.75]
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], 10000))
-        aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                             q[0].cast("double").alias("q25"), q[1].cast("double").alias("q50"),
-                             q[2].cast("double").alias("q75"), F.max(x).alias("max")).alias(c))
-    one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("s")).select("s.*")
+        v = F.col(c)
+        finite = F.when(F.abs(v) < float("inf"), v)
+        aggs.append(F.struct(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+                             F.count(finite).alias("n"), F.min(finite).alias("low"), F.max(finite).alias("high"),
+                             (F.array(*[F.lit(None).cast("double")] * 3) if exact else F.percentile_approx(v, shares, 10000)).alias("q")).alias(c))
+    one = x.agg(*aggs).first()
+    q = quantiles(x, {c: (one[c]["n"], one[c]["low"], one[c]["high"]) for c in cols}, shares) if exact else {c: one[c]["q"] for c in cols}
+    rows = [(c, one[c]["count"], one[c]["mean"], one[c]["std"], one[c]["min"], *(q[c] or [None] * 3), one[c]["max"]) for c in cols]
+    return df.sparkSession.createDataFrame(
+        rows, "column_name string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
 
 
 def null_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .edges import basket_pairs
 from .topn import top_n_per_group
 
 B, I = "basket_id", "item_id"
@@ -54,17 +55,25 @@ def by_edges(baskets: DataFrame, edges: DataFrame, catalog: DataFrame, n: int =
     return _rank(_edge_scores(known, edges), n)
 
 
+def rule_tables(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(rule_id, item_id)`` of the antecedents, ``(rule_id, consequent, confidence, ante_size)``."""
+    # a name that a recomputed row keeps: the rule itself
+    r = rules.withColumn("rule_id", F.concat_ws("\u0002", F.array_join("antecedent", "\u0001"), F.array_join("consequent", "\u0001")))
+    return (r.select("rule_id", F.explode("antecedent").alias(I)),
+            r.select("rule_id", "consequent", "confidence", F.size("antecedent").alias("ante_size")))
+
+
 def by_rules(baskets: DataFrame, rules: DataFrame, catalog: DataFrame, n: int = 5) -> DataFrame:
     """Rules whose antecedent overlaps the basket vote for their consequent items
     with ``confidence * overlap / |antecedent|``; owned items are excluded."""
-    known = known_items(baskets, catalog)
-    # a name that a recomputed row keeps: the rule itself
-    r = rules.withColumn("rule_id", F.concat_ws("\u0002", F.array_join("antecedent", "\u0001"), F.array_join("consequent", "\u0001")))
-    ante = r.select("rule_id", F.explode("antecedent").alias(I))
+    return by_rule_tables(known_items(baskets, catalog), *rule_tables(rules), n)
+
+
+def by_rule_tables(known: DataFrame, ante: DataFrame, rules: DataFrame, n: int = 5) -> DataFrame:
+    """``by_rules`` over the tables that ``rule_tables`` makes, for items known to be in the catalog."""
     overlap = (known.join(ante, I).groupBy(B, "rule_id")
                .agg(F.count(F.lit(1)).alias("overlap")))
-    votes = (overlap.join(r.select("rule_id", "consequent", "confidence",
-                                   F.size("antecedent").alias("ante_size")), "rule_id")
+    votes = (overlap.join(rules, "rule_id")
              .select(B, F.explode("consequent").alias(I),
                      (F.col("confidence") * F.col("overlap") / F.col("ante_size")).alias("w")))
     s = (votes.join(known.select(B, I), [B, I], "left_anti")
@@ -72,16 +81,43 @@ def by_rules(baskets: DataFrame, rules: DataFrame, catalog: DataFrame, n: int =
     return _rank(s, n)
 
 
+def fold_collections(members: DataFrame, collection_col: str = "collection_id") -> DataFrame:
+    """``collection_id, item_id, times``: equal collections once, with the number of them."""
+    m = members.select(F.col(collection_col).alias(B), I).where(F.col(B).isNotNull() & F.col(I).isNotNull()).distinct()
+    kinds = basket_signatures(m).groupBy("sig").agg(F.min(B).alias(B), F.count(F.lit(1)).alias("times"))
+    return m.join(kinds.select(B, "times"), B).withColumnRenamed(B, "collection_id")
+
+
 def by_popular_same_collections(baskets: DataFrame, members: DataFrame, n: int = 5,
                                 collection_col: str = "collection_id") -> DataFrame:
-    """Items of the collections that hold any basket item, counted, owned excluded."""
+    """Items of the collections that hold any basket item, counted, owned excluded.
+
+    For baskets of one or two items {a, b} the count of x is N(a, x) + N(b, x) -
+    N(a, b, x), N the number of collections that hold them all: sums over pair
+    edges of the folded collections, and the collections that hold both.  No
+    (basket, collection, item) rows are made for them.  Larger baskets look
+    their collections up.
+    """
     items = baskets.select(B, I).where(F.col(I).isNotNull()).distinct()
-    m = members.select(collection_col, I)
-    shared = items.join(m, I).select(B, collection_col).distinct()
-    cand = shared.join(m, collection_col).select(B, I)
-    s = (cand.join(items, [B, I], "left_anti")
-         .groupBy(B, I).agg(F.count(F.lit(1)).cast("double").alias("score")))
-    return _rank(s, n)
+    m = fold_collections(members, collection_col)
+    sizes = items.groupBy(B).agg(F.count(F.lit(1)).alias("k"), F.min(I).alias("a"), F.max(I).alias("b"))
+    small = items.join(sizes.where("k <= 2").select(B), B, "left_semi")
+    large = items.join(sizes.where("k > 2").select(B), B, "left_semi")
+
+    pairs = basket_pairs(m, "collection_id", I, assume_distinct=True).join(m.select("collection_id", "times").distinct(), "collection_id")
+    edges = pairs.groupBy("item1", "item2").agg(F.sum("times").alias("n"))
+    either = small.join(edges, small[I] == edges["item1"]).select(B, F.col("item2").alias(I), "n")
+    twos = sizes.where("k = 2").select(B, "a", "b")
+    wanted = twos.select("a", "b").distinct()
+    both = pairs.join(wanted, (F.col("item1") == F.col("a")) & (F.col("item2") == F.col("b"))).select("a", "b", "collection_id", "times")
+    both = both.join(m.select("collection_id", I), "collection_id").groupBy("a", "b", I).agg((-F.sum("times")).alias("n"))
+    both = twos.join(both, ["a", "b"]).select(B, I, "n")
+    shared = large.join(m, I).select(B, "collection_id", "times").distinct()
+    looked_up = shared.join(m.drop("times"), "collection_id").select(B, I, F.col("times").alias("n"))
+
+    votes = either.unionByName(both).unionByName(looked_up)
+    s = (votes.join(items, [B, I], "left_anti").groupBy(B, I).agg(F.sum("n").cast("double").alias("score")))
+    return _rank(s.where("score > 0"), n)
 
 
 def by_popularity(baskets: DataFrame, ranked_pop: DataFrame, catalog: DataFrame, n: int = 5) -> DataFrame:

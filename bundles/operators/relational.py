@@ -23,7 +23,8 @@ def prefix_plan(columns: Sequence[str], by_suffix: dict[str, str], by_name: dict
     (the suffix text goes wherever it occurs), else a listed name gets its prefix."""
     plan = {c: by_name[c] + c for c in columns if c in by_name}
     for suffix, prefix in by_suffix.items():
-        plan.update((c, prefix + "".join(c.split(suffix))) for c in columns if c.endswith(suffix))
+        # fixed behaviour: the suffix is removed wherever it occurs, as the reference does
+        plan.update((c, prefix + c.replace(suffix, "")) for c in columns if c.endswith(suffix))
     return plan
 
 

@@ -14,7 +14,9 @@ from ..operators import collections as col
 from ..operators import edges as ed
 from ..operators import mining as mn
 from ..operators import recommend as rec
+from ..operators import store
 from ..operators.topn import top_n_per_group
+from ..session import scratch_path_of
 from .q_mining import SQL_COOC, SQL_POP, SQL_RULES, SQL_SUPPORT, SQL_TXN, _txt, rules_at_choice, sql_patterns
 from .q_recommend import SQL_SIM, first_item_baskets, members
 from .registry import query
@@ -30,17 +32,10 @@ def two_item_baskets(m):
 
 
 class Model:
-    """Mined tables shared by the strategies of one query."""
+    """Tables shared by the strategies of one query; each is built when first asked for."""
 
     def __init__(self, spark, sf):
         self.members = members(spark, sf).cache()
-        self.txn = col.transactions(self.members).cache()
-        self.n = self.txn.count()
-        choice = mn.adaptive_support(self.txn)
-        self.support, self.patterns = choice.support, choice.itemsets
-        rules, _ = rules_at_choice(self.patterns, self.n)
-        self.rules = mn.one_per_antecedent(rules).cache()
-        self.catalog = self.members.select("item_id").distinct().cache()
         self._memo = {}
 
     def _keep(self, key, build):
@@ -49,6 +44,22 @@ class Model:
             self._memo[key] = build().cache()
         return self._memo[key]
 
+    @property
+    def catalog(self):
+        return self._keep("catalog", lambda: self.members.select("item_id").distinct())
+
+    @property
+    def txn(self):
+        return self._keep("txn", lambda: col.transactions(self.members))
+
+    @property
+    def patterns(self):
+        return self._keep("patterns", lambda: mn.adaptive_support(self.txn).itemsets)
+
+    @property
+    def rules(self):
+        return self._keep("rules", lambda: mn.one_per_antecedent(rules_at_choice(self.patterns, self.txn.count())[0]))
+
     def sim(self, normalize):
         return self._keep(("sim", normalize),
                           lambda: ed.similarity_edges(self.members, normalize=normalize, assume_distinct=True))
@@ -230,11 +241,50 @@ def rec_cascade_item(spark, sf):
     return _cascade_out(item_cascade(md, first_item_baskets(md.members)))
 
 
-@query("rec_entry", BASE + SQL_B2 + SQL_KNOWN + sql_item_cascade(5))
+SQL_IMAGES_TABLE = """
+, images as (select title as asin, concat(image_url, '?v=', cast(parent_asin % 3 as varchar)) as hi_res_url from fx_products)
+"""
+
+SQL_SERVED = """
+, meta as (select title as item_id, price, title, concat_ws(' ', cat_1, cat_2) as description,
+        case when cat_1 is not null and cat_1 <> '' then concat(cat_1, ' > ', coalesce(cat_2, '')) end as category, image_url
+        from (select *, row_number() over (partition by title order by parent_asin) r from fx_products where title is not null) where r = 1)
+, img as (select asin as item_id, min(hi_res_url) as hi_res_url from images where asin is not null group by 1)
+select res.*, meta.price, meta.title, meta.description, meta.category, coalesce(img.hi_res_url, meta.image_url) as image_url
+from res left join meta using (item_id) left join img using (item_id)"""
+
+
+def images_table(spark, sf):
+    p = fx.products(spark, sf)
+    return p.select(F.col("title").alias("asin"),
+                    F.concat("image_url", F.lit("?v="), (F.col("parent_asin") % 3).cast("string")).alias("hi_res_url"))
+
+
+def described(spark, sf):
+    return fx.products(spark, sf).withColumn("description_clean", F.concat_ws(" ", "cat_1", "cat_2"))
+
+
+def kept_recommender(spark, sf):
+    """The recommender of these input files: fitted when first asked for, read from its tables afterwards."""
+    path = scratch_path_of(spark, "recommender", [f"{sf}/{t}.parquet" for t in ("lineitem", "part")])
+    if not store.versions(spark, path):
+        store.fit(spark, members(spark, sf), described(spark, sf), path, images_table(spark, sf))
+    return store.Kept(spark, path)
+
+
+def _as_res(cascade_sql):
+    return cascade_sql.replace("select basket_id, item_id, cast(row_number()", ", res as (select basket_id, item_id, cast(row_number()") + ")"
+
+
+def _served(df):
+    return df.withColumn("recommendation_score", F.round("recommendation_score", 6))
+
+
+@query("rec_entry", BASE + SQL_B2 + SQL_KNOWN + _as_res(sql_item_cascade(5)) + SQL_IMAGES_TABLE + SQL_SERVED)
 def rec_entry(spark, sf):
-    """``get_item_recommendations(items, 5)`` for every two-item basket at once."""
-    md = Model(spark, sf)
-    return _cascade_out(item_cascade(md, two_item_baskets(md.members), 5))
+    """``get_item_recommendations(items, 5)`` for every two-item basket at once, from the kept recommender:
+    joins with its tables, no mining; score, method, price, title, description, category and image per row."""
+    return _served(kept_recommender(spark, sf).recommend(two_item_baskets(members(spark, sf)), 5))
 
 
 @query("rec_probe", BASE + """
@@ -299,17 +349,6 @@ def jn_same_collections(spark, sf):
     return rec.per_distinct_basket(shared, two_item_baskets(md.members))
 
 
-SQL_IMAGES_TABLE = """
-, images as (select title as asin, concat(image_url, '?v=', cast(parent_asin % 3 as varchar)) as hi_res_url from fx_products)
-"""
-
-
-def images_table(spark, sf):
-    p = fx.products(spark, sf)
-    return p.select(F.col("title").alias("asin"),
-                    F.concat("image_url", F.lit("?v="), (F.col("parent_asin") % 3).cast("string")).alias("hi_res_url"))
-
-
 @query("jn_meta_lookup", BASE + SQL_IMAGES_TABLE + """
 , items as (select distinct item_id from members)
 , meta as (select title as item_id, price, case when cat_1 is not null and cat_1 <> '' then concat(cat_1, ' > ',
@@ -325,11 +364,12 @@ def jn_meta_lookup(spark, sf):
     return out.select("item_id", "price", "category", "image_url")
 
 
-@query("set_except", SQL_TXN.replace("", "", 0) + """
-, req as (select l_orderkey as basket_id, p_name as item_id from lineitem join part on l_partkey = p_partkey
+@query("set_except", SQL_TXN + """
+, cat as materialized (select distinct item_id from members)
+, req as materialized (select l_orderkey as basket_id, p_name as item_id from lineitem join part on l_partkey = p_partkey
           union select l_orderkey, p_brand from lineitem join part on l_partkey = p_partkey where l_linenumber = 1)
-, missing as (select * from req where item_id not in (select item_id from members))
-select basket_id, item_id from missing where basket_id in (select basket_id from req where item_id in (select item_id from members))""")
+, known as materialized (select distinct basket_id from req semi join cat using (item_id))
+select basket_id, item_id from req anti join cat using (item_id) semi join known using (basket_id)""")
 def set_except(spark, sf):
     """Requested minus known items per basket; baskets with no known item return nothing."""
     li = fx.table(spark, sf, "lineitem")
