@@ -144,13 +144,20 @@ def format_price(c) -> Column:
 STRING_LIST = "array<string>"
 
 
-#: Fixed pattern: the word None with only complete quoted strings after it, that is outside quotes.
-BARE_NONE = r"""\bNone\b(?=(?:[^'"]++|'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+")*+$)"""
+#: Fixed pattern: a complete quoted string, a stretch without quotes, or a quote that nothing closes.
+QUOTED_OR_NOT = r"""(?s)'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|[^'"]++|['"]"""
 
 
 def none_to_null(x: Column) -> Column:
-    """Bare ``None`` tokens as ``null``; the word inside a quoted string stays."""
-    return F.when(x.contains("None"), F.regexp_replace(x, BARE_NONE, "null")).otherwise(x)
+    """Bare ``None`` tokens as ``null``; the word inside a quoted string stays.
+
+    One pass: the text is cut into quoted strings and the rest, and only the
+    rest is rewritten.
+    """
+    pieces = F.regexp_extract_all(x, F.lit(QUOTED_OR_NOT), F.lit(0))
+    quoted = lambda p: p.startswith("'") | p.startswith('"')
+    rest = F.transform(pieces, lambda p: F.when(quoted(p) | ~p.contains("None"), p).otherwise(F.regexp_replace(p, r"\bNone\b", "null")))
+    return F.when(x.contains("None"), F.array_join(rest, "")).otherwise(x)
 
 
 def parse_json_list(c) -> Column:

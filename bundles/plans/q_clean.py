@@ -78,8 +78,7 @@ def _d_clean_basic():
 
 @query("job_clean", SQL_META_FULL + _d_clean_basic() + "select * from s5")
 def job_clean(spark, sf):
-    out, _ = C.clean_basic(R.rename_origin(joined_full(spark, sf)))
-    return out
+    return C.clean_basic(R.rename_origin(joined_full(spark, sf)))
 
 
 @query("agg_funnel", SQL_META_FULL + _d_clean_basic() + """
@@ -88,8 +87,7 @@ def job_clean(spark, sf):
         union all select 4, 'price_1_1000', count(*) from s5)
 select step_no, step, rows, coalesce(lag(rows) over (order by step_no) - rows, 0) as dropped from f""")
 def agg_funnel(spark, sf):
-    _, fun = C.clean_basic(R.rename_origin(joined_full(spark, sf)))
-    return fun
+    return C.funnel(R.rename_origin(joined_full(spark, sf)))
 
 
 @query("job_features_a", SQL_META_FULL + _d_clean_basic() + f"""
@@ -105,8 +103,7 @@ select users_user_id, users_parent_asin, users_rating, item_title, item_categori
     coalesce(cast({D_NORM.format(x='item_main_category')} = 'sports and outdoors' as int), 0) as is_sports_and_outdoors
 from lv""")
 def job_features_a(spark, sf):
-    out, _ = C.clean_basic(R.rename_origin(joined_full(spark, sf)))
-    return C.features_a(out)
+    return C.features_a(C.clean_basic(R.rename_origin(joined_full(spark, sf))))
 
 
 def _d_smart(x, kind):
@@ -182,10 +179,9 @@ def job_top_categories(spark, sf):
     from ..sources import writers as W
     from ..session import scratch_path
     final = final_table(spark, sf)
-    five = C.top_categories(final, FIVE)
     p1, p2 = scratch_path(spark, "final"), scratch_path(spark, "five")
     W.write_parquet(final, p1)
-    W.write_parquet(five, p2)
+    W.write_parquet(C.top_categories(spark.read.parquet(p1), FIVE), p2)  # from what is written: the pipeline runs once
     a = spark.read.parquet(p1).select(F.lit("final").alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
     b = spark.read.parquet(p2).select(F.lit("five_categories").alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
     return a.groupBy("table_name").agg(F.sum("n_rows").alias("n_rows")).unionByName(

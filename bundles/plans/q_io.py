@@ -119,19 +119,34 @@ EVENT_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructFi
                              T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-@query("src_incremental", """
-select event_id, user_id, event_type, value, props from events""", fx=False)
-def src_incremental(spark, sf):
-    """Events split over several JSON files, ingested 2 files per micro-batch until caught up."""
+def _ingested(spark, sf):
+    """Events as JSON lines in several files, every 97th followed by a broken copy of its line, ingested 2 files
+    per micro-batch until caught up; run again at once, which finds nothing new."""
     src = scratch_path(spark, "events-in")
     ev = fx.table(spark, sf, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    ev.repartition(5).write.json(src)
+    line = F.to_json(F.struct(*[f.name for f in EVENT_SCHEMA.fields]))
+    broken = F.when(F.col("event_id") % 97 == 0, F.substring(line, 1, 24))
+    ev.select(F.explode(F.array_compact(F.array(line, broken))).alias("value")).repartition(5).write.text(src)
     sink, ck = scratch_path(spark, "events-out"), scratch_path(spark, "events-ckpt")
     ingest_folder(spark, src, EVENT_SCHEMA, sink, ck, files_per_batch=2)
-    return read_sink(spark, sink).select("event_id", "user_id", "event_type", "value", "props")
+    ingest_folder(spark, src, EVENT_SCHEMA, sink, ck, files_per_batch=2)
+    return sink
+
+
+@query("src_incremental", """
+select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, user_id, event_type, value, props from events""", fx=False)
+def src_incremental(spark, sf):
+    return read_sink(spark, _ingested(spark, sf))
+
+
+@query("src_quarantine", """
+select event_id, concat('{"event_id":', event_id, ',"ts":"')[1:16] as start from events where event_id % 97 = 0""", fx=False)
+def src_quarantine(spark, sf):
+    """The broken lines that the ingestion put aside."""
+    put = read_sink(spark, _ingested(spark, sf), "quarantine")
+    return put.select(F.regexp_extract("value", r"event_id\":(\d+)", 1).cast("long").alias("event_id"), F.substring("value", 1, 16).alias("start"))
 
 
-# ---- sinks ------------------------------------------------------------------------
 @query("snk_parquet", "select * from fx_products")
 def snk_parquet(spark, sf):
     path = scratch_path(spark, "products")

@@ -1,9 +1,12 @@
 """Sources: JSON lines with rejects, parquet chunks, CSV, latest file, prefixes.
 
-JSON lines are read as text and parsed with ``try_parse_json``: only lines
-that are not valid JSON are rejected (like ``json.loads`` per line); values
-of a valid line are read as text and cast to the declared type afterwards,
-so a wrong type in one field nulls that field instead of the whole row.
+JSON lines are read as text and parsed once.  A line is a row if Python's
+``json.loads`` takes it and it holds one object (repeated keys: the last one
+stands; NaN and infinities are numbers); every other line is rejected, blank
+lines and lines that hold a list, a number or two objects among them.  Values
+are read as text and cast to the declared type afterwards, so a wrong type in
+one field nulls that field instead of the whole row; a decimal number without a
+fraction is a whole number.
 A ``.gz`` file is one task; ``repartition`` right after the read spreads
 the parsing.
 """
@@ -42,19 +45,47 @@ def _as_text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
 
-def _parsed_lines(spark: SparkSession, path: str, partitions: int | None):
+JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}
+
+
+def parsed_lines(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """``value, file_path, j`` of lines ``value, file_path``: the object's fields as text, ``j`` null for a rejected line.
+
+    The line stands inside a list with a mark behind it, so that whatever comes
+    after its object is an error or keeps the mark from being read.  The
+    generator keeps the parsed column apart, so it is computed once.
+    """
+    around = T.StructType([T.StructField("line", T.ArrayType(_as_text_schema(schema))), T.StructField("after it", T.StringType())])
+    parsed = raw.withColumn("p", F.from_json(F.concat(F.lit('{"line": ['), "value", F.lit('], "after it": "end"}')), around, JSON_OPTIONS))
+    whole = (F.col("p.`after it`") == "end") & (F.size("p.line") == 1)
+    return parsed.select("value", "file_path", F.explode_outer(F.when(whole, F.col("p.line"))).alias("j"))
+
+
+def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType, partitions: int | None):
     raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
-    if partitions:
-        raw = raw.repartition(partitions)
-    return raw.withColumn("__ok", F.try_parse_json(F.trim("value")).isNotNull())
+    return parsed_lines(raw.repartition(partitions) if partitions else raw, schema)
+
+
+def _typed(c, kind: T.DataType):
+    """Text of a JSON value as ``kind``, null if it is none; the parser quotes NaN and infinities."""
+    number = F.when(c.isin('"NaN"', '"Infinity"', '"-Infinity"'), F.btrim(c, F.lit('"'))).otherwise(c)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return X.to_double(number).cast(kind)
+    if isinstance(kind, T.IntegralType):
+        as_double = X.to_double(number)
+        return F.coalesce(c.try_cast(kind), F.when(as_double == F.floor(as_double), number.try_cast("decimal(38,6)").try_cast(kind)))
+    return c.try_cast(kind)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, partitions: int | None = None,
                clean_price_col: str | None = "price", keep_file: bool = False) -> DataFrame:
-    """Valid rows of JSON-lines files (gz or plain) with the declared ``schema``."""
-    lines = _parsed_lines(spark, path, partitions).where("__ok")
-    txt = F.from_json(F.trim("value"), _as_text_schema(schema))
-    s = lines.select(txt.alias("j"), "file_path")
+    """Rows of JSON-lines files (gz or plain) with the declared ``schema``."""
+    s = _parsed_lines(spark, path, schema, partitions).where(F.col("j").isNotNull())
+    return s.select(*typed_columns(schema, clean_price_col), *(["file_path"] if keep_file else []))
+
+
+def typed_columns(schema: T.StructType, clean_price_col: str | None = None) -> list:
+    """The declared columns from the text fields of ``j``."""
     cols = []
     for f in schema.fields:
         c = F.col(f"j.{f.name}")
@@ -62,24 +93,24 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, partitions:
             cols.append(X.clean_price(c).alias(f.name))
         elif isinstance(f.dataType, T.StringType):
             cols.append(c.alias(f.name))
-        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(X.to_double(c).cast(f.dataType).alias(f.name))
         else:
-            cols.append(c.try_cast(f.dataType).alias(f.name))
-    if keep_file:
-        cols.append(F.col("file_path"))
-    return s.select(*cols)
+            cols.append(_typed(c, f.dataType).alias(f.name))
+    return cols
+
+
+#: For readers that only ask whether a line is an object.
+ANY_OBJECT = T.StructType([T.StructField("_", T.StringType())])
 
 
 def read_rejects(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """Lines that are not valid JSON (blank lines included), with their file."""
-    return _parsed_lines(spark, path, partitions).where(~F.col("__ok")).select("file_path", "value")
+    """Rejected lines (blank lines included), with their file."""
+    return _parsed_lines(spark, path, ANY_OBJECT, partitions).where(F.col("j").isNull()).select("file_path", "value")
 
 
 def reject_counts(spark: SparkSession, path: str) -> DataFrame:
-    lines = _parsed_lines(spark, path, None)
+    lines = _parsed_lines(spark, path, ANY_OBJECT, None)
     return lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_lines"),
-                                          F.count(F.when(~F.col("__ok"), 1)).alias("n_rejected"))
+                                          F.count(F.when(F.col("j").isNull(), 1)).alias("n_rejected"))
 
 
 def first_rows(df: DataFrame, n: int, order_cols: Sequence) -> DataFrame:
@@ -107,14 +138,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, optiona
 
 
 def read_latest(spark: SparkSession, glob: str, fmt: str = "parquet") -> DataFrame:
-    """The most recently modified file matching ``glob`` (checkpoint pick-up)."""
-    meta = (spark.read.format(fmt).load(glob)
-            .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_modification_time").alias("t"))
-            .distinct())
-    latest = meta.agg(F.max_by("p", F.struct("t", "p"))).first()[0]
-    if latest is None:
+    """The most recently modified file matching ``glob`` (checkpoint pick-up); no file is read to find it."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(glob)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []
+    files = [(f.getModificationTime(), f.getPath().toString()) for f in found if f.isFile()]
+    if not files:
         raise FileNotFoundError(f"nothing matches {glob}")
-    return spark.read.format(fmt).load(latest)
+    return spark.read.format(fmt).load(max(files)[1])
 
 
 def row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:

@@ -94,3 +94,17 @@ def test_none_inside_words_and_urls_stays(spark):
     assert got == [["None of these", "Bike"], [None, "a", "b, None, c"], ["He said None"], [], ["it's None"]]
     url = "[{'variant': 'MAIN', 'hi_res': None, 'large': 'https://h/None-1.jpg', 'thumb': ''}]"
     assert spark.createDataFrame([(url,)], "t string").select(X.main_image(X.parse_images("t"))).first()[0] == "https://h/None-1.jpg"
+
+
+def test_bare_none_in_linear_time(spark):
+    """A list of a megabyte with as many None as words is parsed well under the old quadratic time."""
+    import time
+
+    from bundles.functions import expr as X
+    text = "[" + ", ".join(["None", "'None it''s'".replace("''", "\\'")] * 45_000) + "]"
+    df = spark.createDataFrame([(text,), ("['a', None, \"b None 'c'\", None]",), ("[None]",), ("None",), ("['open None",)], "x string")
+    spark.range(1).select(X.parse_py_list(F.lit("[None, 'a']"))).collect()
+    start = time.time()
+    got = [r[0] for r in df.select(X.parse_py_list("x")).collect()]
+    assert time.time() - start < 8 and len(text) >= 900_000
+    assert len(got[0]) == 90_000 and got[0][:2] == [None, "None it's"] and got[1:] == [["a", None, "b None 'c'", None], [None], [], []]

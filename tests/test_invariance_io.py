@@ -1,5 +1,7 @@
 """Same answers under different partitioning; restartable ingestion; reader edge lines."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,7 +10,7 @@ import __spark_entry__ as E
 from bundles.session import scratch_path
 from bundles.sources import readers as RD
 from bundles.sources import writers as W
-from bundles.streaming.incremental import ingest_folder, read_sink
+from bundles.streaming.incremental import ingest_folder, quarantine_counts, read_sink, write_batch
 
 from conftest import SF_SMALL
 
@@ -63,3 +65,49 @@ def test_compact_and_split(spark):
     parts = {r.part_id: r["count"] for r in out.groupBy("part_id").count().collect()}
     assert parts == {0: 400, 1: 400, 2: 200}
     assert sorted(r.id for r in out.where("part_id = 2").collect()) == list(range(800, 1000))
+
+
+def test_jsonl_takes_what_json_loads_takes(spark):
+    """One object a line, repeated keys and NaN included; lists, numbers, two objects and anything after an object are rejected."""
+    good = ['{"rating": NaN, "user_id": "nan"}', '{"rating": 1, "rating": 2, "user_id": "twice"}', '{"helpful_vote": 3.0, "user_id": "whole"}',
+            '{"helpful_vote": 3.5, "user_id": "half"}', '{"rating": -Infinity, "user_id": "inf"}', ' {"user_id": "space"}\t', '{"user_id": "{[\\"]}"}', '{}']
+    bad = ["[1]", '[{"user_id": "x"}]', "1", '"x"', "null", '{"user_id": "x"} y', '{"user_id": "x"}{"user_id": "y"}', '{"user_id": "x"},{"user_id": "y"}',
+           "{'user_id': 'x'}", '{"rating": 01}', '{"user_id": "x",}', "   ", "]", '{"user_id": "x"}]', "{},[", '{"user_id": "x"}]}', '{"user_id": "x"}]} "after it": "end"}', "{}, []"]
+    path = scratch_path(spark, "edge-lines")
+    spark.createDataFrame([(x,) for x in good + bad], "value string").coalesce(1).write.text(path)
+    schema = T.StructType([T.StructField("rating", T.DoubleType()), T.StructField("user_id", T.StringType()), T.StructField("helpful_vote", T.LongType())])
+    rows = {r.user_id: r for r in RD.read_jsonl(spark, path, schema).collect()}
+    assert set(rows) == {"nan", "twice", "whole", "half", "inf", "space", '{["]}', None}
+    assert rows["nan"].rating is None and rows["twice"].rating == 2.0 and rows["inf"].rating == float("-inf")
+    assert rows["whole"].helpful_vote == 3 and rows["half"].helpful_vote is None
+    assert sorted(r.value for r in RD.read_rejects(spark, path).collect()) == sorted(bad)
+    assert [tuple(r)[1:] for r in RD.reject_counts(spark, path).collect()] == [(len(good + bad), len(bad))]
+
+
+def test_ingest_quarantine_and_replay(spark):
+    """Broken lines are counted per file; a batch that is written again adds nothing."""
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.StringType())])
+    src, sink, ck = scratch_path(spark, "in"), scratch_path(spark, "out"), scratch_path(spark, "ck")
+    for n, bad in ((0, 3), (1, 0), (2, 5)):
+        lines = [f'{{"id": {i}, "ts": "2024-01-0{n + 1}"}}' for i in range(40 * n, 40 * n + 40)] + ['{"id": '] * bad
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{src}/f{n}")
+    ingest_folder(spark, src + "/*", schema, sink, ck, files_per_batch=1)
+    want = sorted((i, f"2024-01-0{i // 40 + 1}") for i in range(120))
+    assert sorted(map(tuple, read_sink(spark, sink).collect())) == want
+    assert sorted(r.n_rejected for r in quarantine_counts(spark, sink).collect()) == [3, 5]
+    lines = spark.read.text(f"{src}/f2").select("value", F.lit("f2").alias("file_path"))
+    batch = spark.read.parquet(f"{sink}/data").where("id = 100").first()["batch"]
+    write_batch(lines, batch, schema, sink)  # as after a failure between the write and the commit
+    assert sorted(map(tuple, read_sink(spark, sink).collect())) == want
+    assert sorted(r.n_rejected for r in quarantine_counts(spark, sink).collect()) == [3, 5]
+
+
+def test_latest_file_is_found_without_reading(spark, tmp_path):
+    for v in range(3):
+        spark.range(v, v + 1).coalesce(1).write.parquet(f"{tmp_path}/v{v}")
+    files = sorted(tmp_path.glob("v*/*.parquet"))
+    for i, f in enumerate(files):
+        os.utime(f, (1000 + (5 if i == 1 else i),) * 2)
+    assert RD.read_latest(spark, f"{tmp_path}/v*/*.parquet").first().id == 1
+    with pytest.raises(FileNotFoundError):
+        RD.read_latest(spark, f"{tmp_path}/none*/*.parquet")
