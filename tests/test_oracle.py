@@ -4,21 +4,24 @@ The full sweep (every key) is ``python scripts/check_oracle.py``.
 """
 
 import math
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
 from bundles.fixtures import TABLES
+from bundles.plans.registry import load_all
 
-from conftest import SF_MID
+from conftest import ROOT, SF_MID
 
 KEYS = [
     "prj_rename_origin", "prj_price", "flt_threshold_users", "flt_top_n_keys", "jn_key_overlap",
     "txt_smart_clean", "arr_parse_py", "img_main", "agg_describe", "agg_cat_summary", "agg_histogram",
     "win_cumulative_cut", "win_head_per_group", "smp_exact", "set_dedupe_key", "job_pack", "job_transactions",
     "job_freq_itemsets", "job_rules", "job_similarity_edges", "rec_similarity", "rec_cascade_item",
-    "ml_split", "ml_metrics", "jn_cat_match", "job_features_b", "src_jsonl", "snk_split", "run_stages",
+    "ml_split", "ml_metrics", "ml_mf_offsets", "ml_topk_factors", "jn_cat_match", "job_features_b", "src_jsonl", "snk_split", "run_stages",
 ]
 
 
@@ -52,9 +55,17 @@ def test_query_matches_oracle(spark, duck, key):
 
 
 def test_every_query_has_a_builder_and_most_an_oracle():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = load_all()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"ml_mf", "ml_wmf", "ml_ease", "ml_bpr", "ml_topk", "ml_search"}
+    assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_entry_without_a_library_of_the_removable_part():
+    """The other queries stay when a library that only the training-data operators need is missing."""
+    code = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__ as E; print(len(E.queries()), sum(k.startswith('op') for k in E.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout.split()
+    assert out == [str(len(load_all()[0])), "0"]
 
 
 def test_entry_smoke(spark):
