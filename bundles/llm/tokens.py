@@ -14,8 +14,8 @@ import pyarrow as pa
 
 #: Ids of one part are kept as little-endian uint32 bytes.
 ID = np.dtype("<u4")
-#: Parts kept per worker; the table is emptied when full.  Bounds memory only, never the result.
-MAX_PARTS = 1_000_000
+#: Parts kept per worker; the table is renewed when full.  Bounds memory only, never the result.
+MAX_PARTS = 500_000
 #: First words kept per worker.
 MAX_HEADS = 100_000
 #: Longer parts are encoded but not kept.
@@ -23,59 +23,65 @@ MAX_KEPT = 64
 
 
 class PartEncoder:
-    """``encode(text) -> bytes of ids``.
+    """``encode(texts) -> bytes of ids`` of each text.
 
-    ``backend(list of strings) -> list of id bytes`` gets one string, or
-    several that each start at a safe space, so that it may join them.
-    ``whole(text)`` gives the ids of a text that must not be cut, else None.
+    ``together(parts)`` gives the id bytes of strings that each start at a safe
+    space, so that it may join them; ``apart(texts)`` those of any strings.
+    All parts of a batch that are not known yet are encoded in one call.  When
+    the table is full it becomes the old one, from which parts still in use
+    are taken over.
     """
 
-    def __init__(self, backend, max_parts: int = MAX_PARTS, whole=lambda text: None):
-        self.backend, self.max_parts, self.whole = backend, max_parts, whole
+    def __init__(self, together, apart, max_parts: int = MAX_PARTS):
+        self.together, self.apart, self.max_parts = together, apart, max_parts
         self.rest: dict[str, bytes | None] = {}  # parts after a space, without it; None: encode the text whole
+        self.old: dict[str, bytes | None] = {}
         self.heads: dict[str, bytes] = {}  # what stands before the first space
 
-    def _fill(self, parts: list[str]) -> dict[str, bytes | None]:
-        new, own = [], {}
-        for p in set(parts):
-            if p not in self.rest:
-                if not p or p[0].isspace() or p[-1].isspace():
-                    own[p] = None
-                else:
-                    new.append(p)
-        own.update(zip(new, self.backend([" " + p for p in new])))
-        if len(self.rest) + len(own) > self.max_parts:
-            own.update((p, self.rest[p]) for p in set(parts) if p in self.rest)
-            self.rest.clear()
-        self.rest.update((p, v) for p, v in own.items() if len(p) <= MAX_KEPT)
-        return own
+    def _fill(self, parts: set[str]) -> list[str]:
+        """Make all ``parts`` known; returns those that are too long to be kept."""
+        new = parts - self.rest.keys()
+        if len(self.rest) + len(new) > self.max_parts:
+            self.old, self.rest = self.rest, {}
+            new = parts
+        if self.old:
+            self.rest.update((p, self.old[p]) for p in new & self.old.keys())
+            new -= self.rest.keys()
+        cut = [p for p in new if p and not (p[0].isspace() or p[-1].isspace())]
+        self.rest.update(dict.fromkeys(new))
+        self.rest.update(zip(cut, self.together([" " + p for p in cut])))
+        return [p for p in new if len(p) > MAX_KEPT]
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        own = self.whole(text)
-        if own is not None:
-            return own
-        head, *parts = text.split(" ")
-        if not parts or not head or head[-1].isspace():
-            return self.backend([text])[0]
-        try:
-            found = list(map(self.rest.__getitem__, parts))
-        except KeyError:
-            own = self._fill(parts)
-            found = [own[p] if p in own else self.rest[p] for p in parts]
-        try:
-            body = b"".join(found)
-        except TypeError:
-            return self.backend([text])[0]
-        first = self.heads.get(head)
-        if first is None:
-            first = self.backend([head])[0]
-            if len(head) <= MAX_KEPT:
-                if len(self.heads) >= MAX_HEADS:
-                    self.heads.clear()
-                self.heads[head] = first
-        return first + body
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out = [b""] * len(texts)
+        split = [t.split(" ") if t else () for t in texts]
+        parts: set[str] = set()
+        for own in split:
+            parts.update(own[1:])
+        long = self._fill(parts)
+        heads = {own[0] for own in split if len(own) > 1} - self.heads.keys()
+        if len(self.heads) + len(heads) > MAX_HEADS:
+            self.heads.clear()
+            heads = {own[0] for own in split if len(own) > 1}
+        heads = [h for h in heads if h and not h[-1].isspace()]
+        self.heads.update(zip(heads, self.apart(heads)))
+        left = []
+        for i, own in enumerate(split):
+            if len(own) > 1 and own[0] in self.heads:
+                try:
+                    out[i] = self.heads[own[0]] + b"".join(map(self.rest.__getitem__, own[1:]))
+                    continue
+                except TypeError:
+                    pass
+            if own:
+                left.append(i)
+        for i, ids in zip(left, self.apart([texts[i] for i in left])):
+            out[i] = ids
+        for p in long:
+            del self.rest[p]
+        for p in [p for p in heads if len(p) > MAX_KEPT]:
+            del self.heads[p]
+        return out
 
 
 def id_lists(encoded: list[bytes]) -> pa.Array:

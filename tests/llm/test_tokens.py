@@ -39,7 +39,7 @@ def test_parts_and_words_match_tiktoken(text):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))} if not hasattr(test_parts_and_words_match_tiktoken, "enc") else None
     if ranks:
         test_parts_and_words_match_tiktoken.enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    got = np.frombuffer(bpe._coder(RANKS, P.PATTERN)[1].encode(text), dtype="<u4").tolist()
+    got = np.frombuffer(bpe._coder(RANKS, P.PATTERN)[1].encode([text])[0], dtype="<u4").tolist()
     assert got == test_parts_and_words_match_tiktoken.enc.encode_ordinary(text)
 
 
