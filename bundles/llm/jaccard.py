@@ -18,15 +18,19 @@ bitmaps bound the overlap from above and never lose a link; texts are fetched
 only for the pairs that the bitmaps let through, and decide.
 
 Prefixes: in any global token order, two sets with Jaccard >= t share at least
-k of their first n - ceil(t*n) + k tokens.  The order is by hash, with tokens
-that occur in many documents last, so common passages do not meet.
+k of their first n - ceil(t*n) + k tokens.  The order is by frequency, rare
+tokens first, as a count sketch of fixed size tells it (any order is exact), so
+prefixes meet on what few documents have.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,12 +38,12 @@ from .common import Scratch, components, kept, slices
 
 #: A class's first leaders are those of so many of its first and of its last shared tokens.
 LEADER_KEYS = 4
-#: A token counts as common when it is in this share of the documents; at most (mean set size / share) tokens are.
-COMMON_SHARE = 0.0002
+#: Bits of a counter's place in the sketch, its sections, and tables that are added together.
+SKETCH_BITS, SECTIONS, FAN_IN = 24, 16, 64
+#: Asked classes that are compared with a group part in one task.
+ASKED = 512
 #: Tokens of a group part, on average; bounds the union that stands for it.
 PART_TOKENS = 16_384
-#: Tokens that a task counts at a time when it looks for common ones.
-COUNT_AT_ONCE = 4_000_000
 #: Hashed words kept per worker; bounds memory only.
 MAX_WORDS = 250_000
 
@@ -130,53 +134,70 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _common_tokens(docs: DataFrame, width: int) -> np.ndarray:
-    """Tokens in about ``COMMON_SHARE`` of all documents or more.
+def _cells(s: np.ndarray) -> np.ndarray:
+    """A token's counter in the sketch."""
+    return (mix(s + _M2) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def _sketch(docs: DataFrame, width: int) -> np.ndarray:
+    """Counters of hashed tokens over all documents, of a fixed size; counts stop at 65,535.
 
-    Whole texts are counted, in runs of documents; a token that reaches the
-    share overall reaches it in some run, and only those (in runs of few
-    documents, those seen three times) go on to the global sum.  So what is
-    gathered is bounded by (mean set size / share) per run and by the same for
-    the result.  Any set of tokens gives a valid order; this one puts a copy's
-    own tokens before those that it has in common with thousands.
+    A task counts into a table of its own and hands it on in compressed
+    sections; sections are added in rounds of bounded fan-in.  A counter is at
+    least the number of documents that hold any of its tokens.
     """
-    def count(batches):
-        def told(sets):
-            tokens, n = np.unique(np.concatenate(sets), return_counts=True)
-            often = n >= max(3, COMMON_SHARE * len(sets))
-            return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(n[often])], names=["token", "n"])
+    section = (1 << SKETCH_BITS) // SECTIONS
 
-        sets, size = [], 0
+    def count(batches):
+        table = np.zeros(1 << SKETCH_BITS, np.uint16)
         for b in (b for whole in batches for b in slices(whole)):
-            for t in b.column(0).to_pylist():
-                sets.append(shingle_set(t, width))
-                size += len(sets[-1])
-                if size >= COUNT_AT_ONCE:
-                    yield told(sets)
-                    sets, size = [], 0
-        if size:
-            yield told(sets)
-
-    total = docs.count()
-    often = (docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= max(8.0, COMMON_SHARE * total)).select("token").toPandas())
-    return np.sort(often["token"].to_numpy(np.int64).view(np.uint64))
-
-
-def _signatures(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
+            cells = np.concatenate([_cells(shingle_set(t, width)) for t in b.column(0).to_pylist()] or [np.zeros(0, np.int64)])
+            cell, n = np.unique(cells, return_counts=True)
+            table[cell] = np.minimum(table[cell] + n, 65_535).astype(np.uint16)
+        if table.any():
+            own = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(SECTIONS, own, np.int32)), pa.array(np.arange(SECTIONS, dtype=np.int32)),
+                 pa.array([zlib.compress(table[i * section:(i + 1) * section].tobytes(), 1) for i in range(SECTIONS)], pa.binary())], names=["source", "section", "data"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros(section, np.int64)
+        for data in rows.column("data"):
+            total += np.frombuffer(zlib.decompress(data.as_py()), np.uint16)
+        data = zlib.compress(np.minimum(total, 65_535).astype(np.uint16).tobytes(), 1)
+        return pa.table({"source": rows.column("source").combine_chunks()[:1], "section": rows.column("section").combine_chunks()[:1], "data": pa.array([data], pa.binary())})
+
+    shape = "source int, section int, data binary"
+    tables, sources = docs.select("text").mapInArrow(count, shape), docs.rdd.getNumPartitions()
+    while sources > 1:
+        sources = -(-sources // FAN_IN)
+        tables = tables.withColumn("source", F.pmod("source", F.lit(sources))).groupBy("source", "section").applyInArrow(add, shape)
+    out = np.zeros(1 << SKETCH_BITS, np.uint16)
+    for r in tables.select("section", "data").collect():  # the sketch itself, of a fixed size
+        out[r.section * section:(r.section + 1) * section] = np.frombuffer(zlib.decompress(bytes(r.data)), np.uint16)
+    return out
+
+
+def ordered(s: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """The sorted tokens in the global order: rare ones first, by powers of two of their counters, then by hash."""
+    if not len(s):
+        return s
+    level = np.frexp(sketch[_cells(s)].astype(np.float32))[1]
+    return s[np.argsort(level, kind="stable")]
+
+
+def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
     """Per document: set size, signature, its prefix in the global order, and its bitmap."""
-    held = docs.sparkSession.sparkContext.broadcast(common)
+    held = docs.sparkSession.sparkContext.broadcast(sketch)  # of a fixed size
 
     def run(batches):
-        late = held.value
         for b in (b for whole in batches for b in slices(whole)):
             keys, n, s1, s2, prefix, bits = [], [], [], [], [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = shingle_set(t, width)
                 x, y = signature(s) if len(s) else (0, 0)
                 bits.append(bitmap(s))
-                if len(late):
-                    s = np.concatenate([s[~(is_late := among(s, late))], s[is_late]])
+                s = ordered(s, held.value)
                 take = prefix_size(len(s), percent)
                 keys.append(k)
                 n.append(len(s))
@@ -233,6 +254,51 @@ def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def overlaps(own: np.ndarray, tokens: np.ndarray, owner: np.ndarray, sets: int) -> np.ndarray:
+    """Tokens that ``own`` shares with each of ``sets`` sets, whose sorted ``tokens`` have the given owners."""
+    low, many = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+    many -= low
+    at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+    return np.bincount(owner[at], minlength=sets)
+
+
+def _first_links(scratch: Scratch, opened: DataFrame, member: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """At most one linked pair ``(a, b)`` for every row of ``opened(cls, component, part)``, b a member of that part.
+
+    A part is a piece of one component, so one link joins a class to all of it;
+    pairs are compared inside the part and never made.  Classes that ask for
+    one part are dealt out in bounded chunks.
+    """
+    chunks = opened.groupBy("component", "part").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("chunks"))
+    chunks = scratch.write(chunks, "chunks")
+    asked = opened.join(chunks, ["component", "part"]).withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
+    held = member.join(chunks, ["component", "part"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    both = scratch.write(asked.select("cls", "component", "part", "chunk", F.lit(True).alias("asks")).unionByName(
+        held.select("cls", "component", "part", "chunk", F.lit(False).alias("asks"))), "asked")
+    # written, so that Spark knows its size and deals out all texts only where it is too large to broadcast
+    ids = scratch.write(both.select(F.col("cls").alias("doc_id")).distinct(), "ids")
+    texts = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    told = both.join(texts.withColumnRenamed("doc_id", "cls"), "cls")
+
+    def find(rows: pa.Table) -> pa.Table:
+        names, asks, sets = rows.column("cls").to_pylist(), rows.column("asks").to_pylist(), [shingle_set(t, width) for t in rows.column("text").to_pylist()]
+        inside = [i for i, x in enumerate(asks) if not x]
+        tokens = np.concatenate([sets[i] for i in inside] or [np.zeros(0, np.uint64)])
+        owner = np.repeat(np.arange(len(inside)), [len(sets[i]) for i in inside])
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner, sizes = tokens[order], owner[order], np.array([len(sets[i]) for i in inside], np.int64)
+        a, b = [], []
+        for i in (i for i, x in enumerate(asks) if x):
+            both = overlaps(sets[i], tokens, owner, len(inside))
+            found = np.flatnonzero(100 * both >= percent * (len(sets[i]) + sizes - both))
+            if len(found):
+                a.append(names[i])
+                b.append(names[inside[found[0]]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return told.select("component", "part", "chunk", "cls", "asks", "text").groupBy("component", "part", "chunk").applyInArrow(find, "a long, b long")
+
+
 def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows ``(doc_id, n_shingles, component_id)``, one per input row.
 
@@ -248,7 +314,7 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     """
     scratch = Scratch(df.sparkSession, "jaccard")
     docs = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    signed = scratch.write(_signatures(docs, width, percent, _common_tokens(docs, width)), "signed")
+    signed = scratch.write(_signatures(docs, width, percent, _sketch(docs, width)), "signed")
     one = signed.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("cls"))
     one = scratch.write(one, "classes")
     # a class's prefix, from its representative row (repeated rows of it are equal or another class)
@@ -326,7 +392,7 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
 
     asked = met.withColumnRenamed("other", "component").join(unions, "component").join(bits, "cls")
     opened = scratch.write(asked.select("cls", "component", "part", "n", "bits", "tokens").mapInArrow(bound, "cls long, component long, part long"), "opened")
-    more = links(opened.join(member.withColumnRenamed("cls", "b"), ["component", "part"]).select(F.col("cls").alias("a"), "b"), "more")
+    more = scratch.write(_first_links(scratch, opened, member, docs, width, percent), "more")
     scratch.drop(unions, opened, sets, leaders, member, met, parts, able)
 
     whole = components(scratch, star.unionByName(more)).select(F.col("node").alias("cls"), "component")
