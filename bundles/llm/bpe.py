@@ -27,7 +27,7 @@ from .common import append_columns, kept
 from .tokens import ID, PartEncoder, id_lists
 
 #: Pairs and words kept per worker; bounds memory only.
-MAX_PARTS, MAX_PAIRS, MAX_WORDS = 300_000, 300_000, 200_000
+MAX_PARTS, MAX_PAIRS, MAX_WORDS = 450_000, 300_000, 200_000
 
 
 class BacktrackingBpe:
@@ -127,7 +127,7 @@ def _new_coder(path: str, pattern: str) -> tuple[BacktrackingBpe, PartEncoder]:
     words: dict[str, bytes] = {}
 
     def ids(pieces: list[str]) -> list[bytes]:
-        new = list(set(pieces) - words.keys())
+        new = list(set(pieces).difference(words))
         if len(words) + len(new) > MAX_WORDS:
             words.clear()
             new = list(set(pieces))

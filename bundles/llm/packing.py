@@ -11,6 +11,7 @@ memory is bounded by the group size and groups run in parallel.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pandas as pd
@@ -22,38 +23,54 @@ from pyspark.sql import types as T
 from .common import kept, slices
 from .tokens import ID, PartEncoder
 
+#: Parts that the library gets as one text.
+TOGETHER = 256
 #: Pieces per first-fit group, on average; a parameter of ``pack``.
 GROUP_PIECES = 4096
 
 PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
-def _encoder(path: str) -> PartEncoder:
-    return kept("packing", path, lambda: _new_encoder(path))
+class _Encoder:
+    """Ids of whole texts by the library at ``path``, its added tokens' strings taken for these tokens (its default).
 
+    An added token parts a text into stretches that the library encodes one by
+    one, so the stretches go through the table of parts and the token's id in
+    between.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
+        from tokenizers import Tokenizer
+        library = Tokenizer.from_file(path)
+        self.added = {x.content: np.array([i], dtype=ID).tobytes() for i, x in library.get_added_tokens_decoder().items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")" if self.added else "((?!))")
+        library.encode_special_tokens = True
+        library.model._resize_cache(0)  # recurring words are in the table of parts
+        size = np.array([len(library.id_to_token(i)) for i in range(library.get_vocab_size())])  # a character stands for a byte
+
+        def apart(texts: list[str]) -> list[bytes]:
+            return [np.array(e.ids, dtype=ID).tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def together(parts: list[str]) -> list[bytes]:
+            """Some hundred parts as one text; their ids are told apart by the bytes they cover."""
+            data = b"".join(apart(["".join(parts[at:at + TOGETHER]) for at in range(0, len(parts), TOGETHER)]))
+            ends = np.searchsorted(np.cumsum(size[np.frombuffer(data, ID)]), np.cumsum([len(x.encode()) for x in parts]), side="left") + 1
+            ends = (ends * ID.itemsize).tolist()
+            return [data[a:b] for a, b in zip([0] + ends, ends)]
 
-def _new_encoder(path: str) -> PartEncoder:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
-    from tokenizers import Tokenizer
-    t = Tokenizer.from_file(path)
-    special = [x.content for x in t.get_added_tokens_decoder().values()]
-    plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
-    size = np.array([len(t.id_to_token(i)) for i in range(t.get_vocab_size())])  # a character stands for a byte
+        self.parts = PartEncoder(together, apart)
 
-    def encode(texts: list[str]) -> list[bytes]:
-        """All texts in one call; their ids are told apart by the bytes they cover."""
-        ids = np.array(plain.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, dtype=ID)
-        ends = np.searchsorted(np.cumsum(size[ids]), np.cumsum([len(x.encode()) for x in texts]), side="left") + 1
-        ends, data = (ends * ID.itemsize).tolist(), ids.tobytes()
-        return [data[a:b] for a, b in zip([0] + ends, ends)]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not any(s in t for s in self.added for t in texts):
+            return self.parts.encode(texts)
+        split = [self.cut.split(t) for t in texts]  # stretches at even places
+        ids = iter(self.parts.encode([x for own in split for x in own[::2]]))
+        return [b"".join(self.added[x] if i % 2 else next(ids) for i, x in enumerate(own)) for own in split]
 
-    def whole(text: str) -> bytes | None:
-        """The library's own ids of a text that holds an added token's string, which it takes for that token."""
-        if any(s in text for s in special):
-            return np.array(t.encode(text, add_special_tokens=False).ids, dtype=ID).tobytes()
 
-    return PartEncoder(encode, whole=whole)
+def _encoder(path: str) -> _Encoder:
+    return kept("packing", path, lambda: _Encoder(path))
 
 
 def token_pieces(df: DataFrame, tokenizer: str, seq_len: int = 2048, end_id: int = 1,
@@ -70,8 +87,8 @@ def token_pieces(df: DataFrame, tokenizer: str, seq_len: int = 2048, end_id: int
         encode, step = _encoder(tokenizer).encode, seq_len * 4
         for b in (b for whole in batches for b in slices(whole)):
             keys, start, total, ids = [], [], [], []
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = encode(t or "") + end
+            for k, own in zip(b.column(0).to_pylist(), encode([t or "" for t in b.column(1).to_pylist()])):
+                own += end
                 for at in range(0, len(own), step):
                     keys.append(k)
                     start.append(at // 4)

@@ -40,13 +40,13 @@ class PartEncoder:
 
     def _fill(self, parts: set[str]) -> list[str]:
         """Make all ``parts`` known; returns those that are too long to be kept."""
-        new = parts - self.rest.keys()
+        new = parts.difference(self.rest)  # looks each part up; a difference of views would walk the whole table
         if len(self.rest) + len(new) > self.max_parts:
             self.old, self.rest = self.rest, {}
             new = parts
         if self.old:
-            self.rest.update((p, self.old[p]) for p in new & self.old.keys())
-            new -= self.rest.keys()
+            self.rest.update([(p, self.old[p]) for p in new if p in self.old])
+            new = new.difference(self.rest)
         cut = [p for p in new if p and not (p[0].isspace() or p[-1].isspace())]
         self.rest.update(dict.fromkeys(new))
         self.rest.update(zip(cut, self.together([" " + p for p in cut])))
@@ -59,7 +59,7 @@ class PartEncoder:
         for own in split:
             parts.update(own[1:])
         long = self._fill(parts)
-        heads = {own[0] for own in split if len(own) > 1} - self.heads.keys()
+        heads = {own[0] for own in split if len(own) > 1}.difference(self.heads)
         if len(self.heads) + len(heads) > MAX_HEADS:
             self.heads.clear()
             heads = {own[0] for own in split if len(own) > 1}
