@@ -31,6 +31,8 @@ CHUNK = 8_192
 TILE = 1_024
 #: Relative slack on the budgets, above all rounding of the rotation.
 SLACK = 1e-4
+#: Above the rounding of squared distances of unit vectors in single precision.
+ROUNDING = 1e-5
 
 
 def rotation(d: int, seed: int = 11) -> np.ndarray:
@@ -76,8 +78,12 @@ def compare(own: pd.DataFrame, block: int, same: bool, cosine: float, dims: int)
     d = x.shape[1]
     cuts, limit = blocks_of(d, dims), (2 - 2 * cosine) * (1 + SLACK)
     budget = [limit * (s.stop - s.start) / d for s in cuts]
-    part = r[:, cuts[block]]
-    square, home, n = (part * part).sum(axis=1), own["home"].to_numpy(), own["n"].to_numpy()
+    part = r[:, cuts[block]].astype(np.float32)
+    square, home, n = (part * part).sum(axis=1)[:, None], own["home"].to_numpy(), own["n"].to_numpy()
+    one = np.ones_like(square)
+    # one product gives |p - q|^2; single precision is off by far less than ROUNDING, and what passes is judged below
+    rows, columns = np.hstack([-2 * part, square, one]), np.hstack([part, one, square]).T.copy()
+    far = np.float32(budget[block] * (1 + SLACK) + ROUNDING)
     first = np.flatnonzero(own["side"].to_numpy() == 0)
     second = first if same else np.flatnonzero(own["side"].to_numpy() == 1)
     links, union = np.zeros(len(own), np.int64), _Union(len(own))
@@ -85,9 +91,8 @@ def compare(own: pd.DataFrame, block: int, same: bool, cosine: float, dims: int)
         p = first[i:i + TILE]
         for j in range(i if same else 0, len(second), TILE):
             q = second[j:j + TILE]
-            near = square[p][:, None] + square[q][None, :] - 2 * (part[p] @ part[q].T) <= budget[block] * (1 + SLACK) + 1e-12
-            a, b = np.nonzero(near)
-            a, b = p[a], q[b]
+            near = np.flatnonzero(rows[p] @ columns[:, q] <= far)
+            a, b = p[near // len(q)], q[near % len(q)]
             keep = home[a] | home[b]  # pairs of two visitors belong to the slab above
             if same:
                 keep &= a < b
@@ -122,6 +127,8 @@ def near_duplicates(df: DataFrame, cosine: float = 0.95, dims: int = 16, key: st
     are ignored; an empty table gives no rows.
     """
     spark, scratch = df.sparkSession, Scratch(df.sparkSession, "vectors")
+    # single-precision vectors travel as such; cosines are taken in double precision all the same
+    kind = "float" if df.schema[vector].dataType.simpleString() == "array<float>" else "double"
     rows = df.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"))
     usable = F.col("vec_id").isNotNull() & valid(F.col("vector"))
     folded = rows.where(usable).groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
@@ -139,6 +146,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.95, dims: int = 16, key: st
                 if d not in held:
                     held[d] = rotation(d)
                 x = np.asarray(v, np.float64)
+                v = x.astype(np.float32) if kind == "float" else x
                 x = x / np.abs(x).max()  # no overflow in the square
                 r = ((x / np.sqrt((x * x).sum())) @ held[d]).astype(np.float32)
                 for i, s in enumerate(blocks_of(d, dims)):
@@ -150,7 +158,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.95, dims: int = 16, key: st
             yield pd.DataFrame(out, columns=["rep", "n", "d", "vector", "rotated", "block", "slab", "home"])
 
     dealt = folded.select("rep", "n", "d", "vector").mapInPandas(
-        deal, "rep long, n long, d int, vector array<double>, rotated array<float>, block int, slab int, home boolean")
+        deal, f"rep long, n long, d int, vector array<{kind}>, rotated array<float>, block int, slab int, home boolean")
     sizes = dealt.groupBy("d", "block", "slab").agg(F.count(F.lit(1)).alias("m"))
     sizes = scratch.write(sizes.select("d", "block", "slab", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks")), "sizes")
     # at most (dimension / dims) blocks x (1 / radius + 1) slabs for each vector length: bounded, whatever the table
