@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -28,7 +29,11 @@ def kept(operator: str, key, make: Callable):
     operator's tables take up memory at a time.
     """
     if (operator, key) not in _kept:
-        _kept.clear()
+        if _kept:
+            _kept.clear()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # freed memory goes back to the system, where the C library can
+            if trim:
+                trim(0)
         _kept[operator, key] = make()
     return _kept[operator, key]
 

@@ -69,8 +69,8 @@ def train(df: DataFrame, path: str, text: str = "text", lang: str = "lang") -> L
     """
     def count(batches):
         totals: dict[str, Counter] = {}
-        known: dict[str, list[int]] = {}
-        model = _pieces(path)[0]
+        known: dict[str, tuple[int, ...]] = kept("langid words", path, dict)
+        model, ids = _pieces(path)[0], list(range(_pieces(path)[4]))  # one object per id, whatever the number of words
         for b in batches:
             words: dict[str, Counter] = {}
             for t, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -81,7 +81,7 @@ def train(df: DataFrame, path: str, text: str = "text", lang: str = "lang") -> L
                 if len(known) + len(new) > MAX_WORDS:
                     known.clear()
                     new = list(own)
-                known.update(zip(new, model.encode(new, num_threads=1)))
+                known.update((w, tuple(map(ids.__getitem__, own_ids))) for w, own_ids in zip(new, model.encode(new, num_threads=1)))
                 for w, n in own.items():
                     for piece in known[w]:
                         total[piece] += n

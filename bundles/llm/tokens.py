@@ -47,9 +47,10 @@ class PartEncoder:
         if self.old:
             self.rest.update([(p, self.old[p]) for p in new if p in self.old])
             new = new.difference(self.rest)
-        cut = [p for p in new if p and not (p[0].isspace() or p[-1].isspace())]
-        self.rest.update(dict.fromkeys(new))
+        cut = [p for p in new if p and len(p.strip()) == len(p)]
         self.rest.update(zip(cut, self.together([" " + p for p in cut])))
+        if len(cut) < len(new):
+            self.rest.update(dict.fromkeys(new.difference(cut)))
         return [p for p in new if len(p) > MAX_KEPT]
 
     def encode(self, texts: list[str]) -> list[bytes]:
