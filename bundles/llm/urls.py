@@ -71,7 +71,7 @@ def viterbi(label: str, log_p: dict[str, float], unseen: float) -> list[str]:
         top, at = -math.inf, end - 1
         for start in range(max(0, end - LONGEST_WORD), end):
             w = label[start:end]
-            p = best[start] + log_p.get(w, unseen - math.log(30) * len(w))
+            p = best[start] + word_cost(w, log_p, unseen)
             if p > top:
                 top, at = p, start
         best.append(top)
@@ -83,6 +83,20 @@ def viterbi(label: str, log_p: dict[str, float], unseen: float) -> list[str]:
     return words[::-1]
 
 
+def word_cost(word: str, log_p: dict[str, float], unseen: float) -> float:
+    return log_p.get(word, unseen - math.log(30) * len(word))
+
+
+def seeds_whole(log_p: dict[str, float], seeds, unseen: float) -> dict[str, float]:
+    """``log_p`` with every seed word at least as likely as its own best split, so that no text of the pages takes it apart."""
+    out = dict(log_p)
+    for seed in sorted(set(seeds) & log_p.keys(), key=len):
+        rest = {w: p for w, p in out.items() if w != seed}
+        own = sum(word_cost(w, rest, unseen) for w in viterbi(seed, rest, unseen))
+        out[seed] = max(out[seed], own + 1e-9)
+    return out
+
+
 def segment_labels(labels: DataFrame, pages: DataFrame, html: str, seeds=SEEDS) -> DataFrame:
     """``(label, words)`` for distinct labels, split with the counts of just the words that occur in them."""
     subs = F.expr(f"""flatten(transform(sequence(1, length(label)), i ->
@@ -101,8 +115,9 @@ def segment_labels(labels: DataFrame, pages: DataFrame, html: str, seeds=SEEDS)
     def split(label: pd.Series, known: pd.Series) -> pd.Series:
         out = []
         for text, words in zip(label, known):
-            log_p = {} if words is None else {w["word"]: math.log(w["p"]) for w in words}
-            out.append(viterbi(text, log_p, math.log(UNSEEN_SHARE)))
+            unseen = math.log(UNSEEN_SHARE)
+            log_p = {} if words is None else seeds_whole({w["word"]: math.log(w["p"]) for w in words}, seeds, unseen)
+            out.append(viterbi(text, log_p, unseen))
         return pd.Series(out)
 
     return joined.select("label", split("label", "known").alias("words"))

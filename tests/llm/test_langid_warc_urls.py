@@ -141,6 +141,16 @@ def test_op10_rules_and_method(spark, tmp_path):
     assert queries.QUERIES["op10_url_filter"](spark, f"{tmp_path}/none").count() == 0
 
 
+@pytest.mark.parametrize("times", [0, 1, 200])
+@pytest.mark.parametrize("copies", [1, 20])
+def test_op10_verdicts_do_not_follow_the_size_of_the_table(spark, times, copies):
+    """A seed word is not taken apart by the pages' text, however often its parts stand there; nor do copies of the table matter."""
+    rows = [(i, f"http://adsworld.site.com/p{i % 7}" if i % 3 == 0 else f"http://news{i % 5}.site.com/a{i % 7}", "plain text about the world " + "a ds world " * (times if i % 3 == 0 else 0))
+            for i in range(60)] * copies
+    got = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows) and {(r.host, r.verdict) for r in got} == {("adsworld.site.com", "block"), *((f"news{i}.site.com", "allow") for i in range(5))}
+
+
 def test_viterbi_splits_known_words():
     log_p = {w: math.log(0.1) for w in ("free", "casino", "bets", "win", "in")}
     assert urls.viterbi("freecasinobets", log_p, -12.0) == ["free", "casino", "bets"]
