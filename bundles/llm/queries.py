@@ -67,6 +67,16 @@ def op9_warc(spark, sf_dir):
     return warc.archive(table(spark, sf_dir, "pages"))[0].select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+ORACLE["op9_warc"] = r"""
+with p as materialized (select page_id, octet_length(encode(coalesce(html, ''))) as n, sha1(encode(coalesce(html, ''))) as h from pages),
+f as (select h, min(page_id) as first from p group by h having count(*) > 1)
+select page_id, cast(n as bigint) as payload_bytes,
+  array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((cast('0x' || substr(h, cast(5 * (j // 4) + 1 as integer), 5) as integer) >> cast(15 - 5 * (j % 4) as integer)) & 31) + 1, 1)), '') as payload_digest,
+  case when first is null or first = page_id then 'response' else 'revisit' end as record_type, case when first <> page_id then first end as refers_to
+from p left join f using (h)"""
+
+
 @query
 def op10_url_filter(spark, sf_dir):
     """Judge every page's url."""
@@ -79,6 +89,21 @@ def op8_ngram_jaccard(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+ORACLE["op8_ngram_jaccard"] = r"""
+with recursive w as materialized (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') as words from documents),
+s as materialized (select doc_id, list_distinct(list_transform(range(1, greatest(len(words) - 1, 2)), lambda i: array_to_string(words[i:i + 2], ' '))) as shingles
+  from w where len(words) > 0),
+t as materialized (select doc_id, unnest(shingles) as shingle, len(shingles) as n from s),
+pairs as (select a.doc_id as x, b.doc_id as y, any_value(a.n) as n, any_value(b.n) as m, count(*) as both_ from t a join t b using (shingle)
+  where a.doc_id <> b.doc_id and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) group by 1, 2),
+links as materialized (select x, y from pairs where 100 * both_ >= 90 * (n + m - both_)),
+reach as (select x, y from links union select reach.x, links.y from reach join links on reach.y = links.x),
+low as (select x as doc_id, min(y) as least_y from reach group by x)
+select doc_id, cast(coalesce(len(shingles), 0) as bigint) as n_shingles, least(doc_id, coalesce(least_y, doc_id)) as component_id
+from w left join s using (doc_id) left join low using (doc_id)"""
+
+
 @query
 def op6_suffix_dedup(spark, sf_dir):
     """Remove every byte covered by a 200-byte string that also starts elsewhere."""
@@ -95,6 +120,17 @@ def op4_vector_near_dups(spark, sf_dir):
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+ORACLE["op4_vector_near_dups"] = r"""
+with recursive v as materialized (select row_number() over () as r, vec_id, cast(embedding as double[]) as e from embeddings),
+ok as materialized (select * from v where e is not null and len(list_filter(e, lambda x: x is null or isnan(x) or isinf(x))) = 0
+  and len(list_filter(e, lambda x: x <> 0)) > 0),
+links as materialized (select a.r as x, b.r as y from ok a join ok b on a.r <> b.r and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95),
+reach as (select r as x, r as y from v union select reach.x, links.y from reach join links on reach.y = links.x),
+low as (select x as r, min(vec_id) as component_id from reach join v on v.r = reach.y group by x)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+from v join low using (r) left join (select x as r, count(*) as n from links group by x) using (r)"""
+
+
 @query
 def op5_hnsw(spark, sf_dir):
     """The 20 nearest of every embedding whose vec_id is divisible by 20."""
