@@ -7,6 +7,7 @@ and blank lines, chunks, CSV, versions), then read back by the operator.
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.sql import functions as F
@@ -28,16 +29,23 @@ REVIEW_SCHEMA_EXT = T.StructType(RD.REVIEW_SCHEMA.fields + [T.StructField("order
 SQL_VALID = "select * from raw_reviews where not (order_id % 50 = 0 or (order_id % 50 = 1 and line_no = 1))"
 
 
-def write_review_lines(spark, sf, files: int = 4) -> str:
+#: Lines of a gzip file on average and at most (a file is one read task), and the fewest files.
+FILE_LINES, FEWEST_FILES = 250_000, 4
+
+
+def write_review_lines(spark, sf, files: int | None = None) -> str:
     """Reviews as gzip JSON lines; rows with order_id % 50 = 0 are cut in half
-    (syntax error) and the first line of orders with order_id % 50 = 1 is blank."""
+    (syntax error) and the first line of orders with order_id % 50 = 1 is blank.
+    As many files as the rows of ``lineitem`` need, if not told otherwise."""
+    files = files or max(FEWEST_FILES, math.ceil(fx.table(spark, sf, "lineitem").count() / FILE_LINES))
     r = fx.raw_reviews(spark, sf)
     line = F.to_json(F.struct(*JSON_COLS, "order_id", "line_no"))
     k = F.col("order_id") % 50
     text = (F.when(k == 0, F.substring(line, 1, 25)).when((k == 1) & (F.col("line_no") == 1), F.lit(""))
             .otherwise(line))
     path = scratch_path(spark, "reviews-jsonl")
-    r.select(text.alias("value")).repartition(files).write.option("compression", "gzip").text(path)
+    (r.select(text.alias("value")).repartition(files).write.option("compression", "gzip")
+     .option("maxRecordsPerFile", FILE_LINES).text(path))
     return path
 
 
@@ -48,7 +56,7 @@ def _valid_cols(df):
 @query("src_jsonl", f"select {', '.join(JSON_COLS)}, order_id, line_no from ({SQL_VALID})")
 def src_jsonl(spark, sf):
     path = write_review_lines(spark, sf)
-    return _valid_cols(RD.read_jsonl(spark, path, REVIEW_SCHEMA_EXT, partitions=8))
+    return _valid_cols(RD.read_jsonl(spark, path, REVIEW_SCHEMA_EXT))
 
 
 @query("src_rejects", """

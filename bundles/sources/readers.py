@@ -113,8 +113,15 @@ def reject_counts(spark: SparkSession, path: str) -> DataFrame:
                                           F.count(F.when(F.col("j").isNull(), 1)).alias("n_rejected"))
 
 
+#: Up to so many rows a prefix is taken from the first rows of every task.
+PREFIX_ROWS = 100_000
+
+
 def first_rows(df: DataFrame, n: int, order_cols: Sequence) -> DataFrame:
-    """Exact prefix of ``n`` rows under a declared order (distributed global index)."""
+    """Exact prefix of ``n`` rows under a declared order: short ones from the first rows of
+    every task, long ones by the distributed global index."""
+    if n <= PREFIX_ROWS:
+        return df.orderBy(*order_cols).limit(n)
     from ..operators.select import global_index
     return global_index(df, order_cols, "__idx").where(F.col("__idx") < n).drop("__idx")
 

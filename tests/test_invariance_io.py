@@ -111,3 +111,27 @@ def test_latest_file_is_found_without_reading(spark, tmp_path):
     assert RD.read_latest(spark, f"{tmp_path}/v*/*.parquet").first().id == 1
     with pytest.raises(FileNotFoundError):
         RD.read_latest(spark, f"{tmp_path}/none*/*.parquet")
+
+
+def test_review_lines_grow_in_files_not_in_size(spark, monkeypatch):
+    """The number of gzip files, each one read task, follows the number of lines; no file holds more than its limit."""
+    from bundles.plans import q_io
+
+    monkeypatch.setattr(q_io, "FILE_LINES", 700)
+    path = q_io.write_review_lines(spark, SF_SMALL)
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    sizes = [r["count"] for r in RD.reject_counts(spark, path).select(F.col("n_lines").alias("count")).collect()]
+    assert sum(sizes) == n and len(sizes) >= n / 700 and max(sizes) <= 700
+
+
+def test_short_prefix_needs_no_index(spark, monkeypatch):
+    """A short prefix is read off the rows; a long one comes from the index, and both are the same rows."""
+    from bundles.operators import select
+
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("k"), (F.col("id") % 3).alias("g")).repartition(6)
+    asked, index = [], select.global_index
+    monkeypatch.setattr(select, "global_index", lambda *a, **k: asked.append(1) or index(*a, **k))
+    short = sorted(map(tuple, RD.first_rows(df, 40, ["g", "k"]).collect()))
+    assert not asked
+    monkeypatch.setattr(RD, "PREFIX_ROWS", 10)
+    assert sorted(map(tuple, RD.first_rows(df, 40, ["g", "k"]).collect())) == short and asked
