@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import kept, slices
+from .common import kept, release, slices
 from .tokens import ID, PartEncoder
 
 #: Parts that the library gets as one text.
@@ -139,6 +139,7 @@ def pack(pieces: DataFrame, n_groups: int, seq_len: int = 2048, seed: int = 7,
     schema = T.StructType(full.schema.fields[:-2] + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        release()  # the tokenizer and its table of parts are used no more
         group = group.sort_values(row, ignore_index=True)  # the same bins in every attempt
         bins, offsets = first_fit_decreasing(group[length].to_numpy(), seq_len)
         group["sequence_id"] = (group["pack_group"] * 2**24 + bins) * 2

@@ -119,3 +119,18 @@ def test_first_fit_decreasing_is_first_fit(lengths):
             free.append(64)
         assert (bins[i], offsets[i]) == (at, 64 - free[at])
         free[at] -= lengths[i]
+
+
+def test_first_fit_keeps_no_tokenizer(spark, monkeypatch):
+    """A worker hands the tokenizer and its table of parts back before it deals pieces to sequences."""
+    import pandas as pd
+    from bundles.llm import common, packing
+
+    pieces, dealt = spark.createDataFrame([(0, 5), (1, 2048)], "piece_row long, length long"), []
+    kind = type(pieces.groupBy("length"))
+    deal = kind.applyInPandas
+    monkeypatch.setattr(kind, "applyInPandas", lambda self, fn, schema: (dealt.append(fn), deal(self, fn, schema))[1])
+    assert packing.pack(pieces, 1).count() == 2
+    common.kept("packing", "table", dict)
+    out = dealt[0](pd.DataFrame({"piece_row": [0, 3], "length": [5, 7], "pack_group": [0, 0]}))
+    assert out["offset"].tolist() == [7, 0] and not common._kept
