@@ -34,13 +34,18 @@ def rename_origin(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(prefix_plan(df.columns, SUFFIX_PREFIX, by_name))
 
 
+def suffixed(left: DataFrame, right: DataFrame, on: Sequence[str], suffixes=("_review", "_meta")) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the suffixes on their clashing non-key columns."""
+    clash = (set(left.columns) & set(right.columns)) - set(on)
+    return tuple(df.select(*[F.col(c).alias(c + suffix) if c in clash else F.col(c) for c in df.columns])
+                 for df, suffix in zip((left, right), suffixes))
+
+
 def join_with_suffixes(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
                        suffixes=("_review", "_meta"), dedupe_right: bool = False) -> DataFrame:
     """pandas ``merge``: clashing non-key columns get the suffixes; null keys never match."""
     on = list(on)
-    clash = (set(left.columns) & set(right.columns)) - set(on)
-    lf = left.select(*[F.col(c).alias(c + suffixes[0]) if c in clash else F.col(c) for c in left.columns])
-    rt = right.select(*[F.col(c).alias(c + suffixes[1]) if c in clash else F.col(c) for c in right.columns])
+    lf, rt = suffixed(left, right, on, suffixes)
     if dedupe_right:
         rt = rt.dropDuplicates(on)
     return lf.join(rt, on, how)

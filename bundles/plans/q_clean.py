@@ -153,7 +153,7 @@ SQL_FINAL = SQL_META_FULL + f"""
 
 
 def final_table(spark, sf):
-    f = C.features_b(joined_full(spark, sf))
+    f = C.features_b(fx.raw_reviews(spark, sf), meta_full(spark, sf))
     return f.select("parent_asin", "rating", "title_review", "user_id", "helpful_vote", "order_id", "line_no",
                     "title_meta", "price", "store", "features_clean", "description_clean", "main_image_url", "num_images",
                     F.array_join("hi_res_images", "|").alias("hi_res_images"),
