@@ -6,9 +6,9 @@ compared with one leader per key, the keys being some of the prefix tokens that
 it shares and the leader a class with few tokens of its own, and verified links
 make the groups.  What is left
 are pairs of classes in different groups.  For these, a group's token union
-stands for its members: a class meets another group only if it shares enough
-tokens of its prefix with it and the places of these tokens allow the sizes
-found there, the overlap with the union of each (bounded) part
+stands for its members: a class meets another group only by a prefix token that is
+not among the most frequent of either and whose place allows the sizes found
+there, the overlap with the union of each (bounded) part
 of the group bounds the similarity to every member, and only parts that the
 bound lets through are opened and compared member by member.
 
@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, kept, slices
+from .common import Scratch, components, kept, releasing, slices
 
 #: A class's first leaders are those of so many of its first and of its last shared tokens.
 LEADER_KEYS = 4
@@ -168,7 +168,7 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
         return pa.table({"source": rows.column("source").combine_chunks()[:1], "section": rows.column("section").combine_chunks()[:1], "data": pa.array([data], pa.binary())})
 
     shape = "source int, section int, data binary"
-    tables, sources = docs.select("text").mapInArrow(count, shape), docs.rdd.getNumPartitions()
+    tables, sources = docs.select("text").mapInArrow(releasing(count), shape), docs.rdd.getNumPartitions()
     while sources > 1:
         sources = -(-sources // FAN_IN)
         tables = tables.withColumn("source", F.pmod("source", F.lit(sources))).groupBy("source", "section").applyInArrow(add, shape)
@@ -208,7 +208,7 @@ def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -
                 [pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
                  pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["doc_id", "n", "s1", "s2", "prefix", "bits"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, prefix array<long>, bits binary")
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), "doc_id long, n long, s1 long, s2 long, prefix array<long>, bits binary")
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,7 +227,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
     right = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
     return (pairs.join(left, "a").join(right, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-            .select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long"))
+            .select("a", "b", "na", "nb", "xa", "xb").mapInArrow(releasing(run), "a long, b long"))
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -251,7 +251,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
 
     left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(releasing(run), "a long, b long")
 
 
 def overlaps(own: np.ndarray, tokens: np.ndarray, owner: np.ndarray, sets: int) -> np.ndarray:
@@ -341,7 +341,8 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
              .withColumn("overlap", F.max(F.when(F.col("nth") == k, k - 1 + F.col("n") - F.col("pos"))).over(own))
              .withColumn("largest", F.expr(f"overlap * {100 + percent} div {percent} - n")).where(100 * F.col("largest") >= percent * F.col("n")))
     key = (F.col("nth") <= LEADER_KEYS) | (F.col("nth") > F.col("m") - LEADER_KEYS)
-    index = scratch.write(index.select("cls", "n", "largest", "token", (F.col("n") - F.col("overlap")).alias("passed"), key.alias("key")), "sharing")
+    index = index.withColumn("rest", F.col("n") - F.col("pos") - 1)
+    index = scratch.write(index.select("cls", "n", "largest", "token", "nth", "rest", (F.col("n") - F.col("overlap")).alias("passed"), key.alias("key")), "sharing")
 
     # groups: links with a leader per key, the class that passed the fewest tokens over and so can be close to most
     keys = index.where("key").select("cls", "token", "passed")
@@ -354,16 +355,23 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     index = (index.drop("passed", "key").join(grouped.select(F.col("node").alias("cls"), "component"), "cls", "left")
              .withColumn("component", F.coalesce("component", "cls")))
 
-    # tokens that classes of different groups share, and the groups that a class shares enough of them with
-    shared = scratch.write(index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                           .where("low < high").select("token"), "shared")
-    index = scratch.write(index.join(shared, "token", "left_semi"), "index")
+    # tokens that classes of different groups share, and the groups that a class meets by them
+    shared = scratch.write(index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held"))
+                           .where("low < high").select("token", "held"), "shared")
+    # of the k tokens that a pair shares at least, the rarest is not among the k - 1 most frequent of either class, so
+    # classes and groups meet without those
+    rare = F.row_number().over(own.orderBy(F.desc("held"), "token")) >= k
+    index = scratch.write(index.join(shared, "token").withColumn("rare", rare).drop("held"), "index")
     groups = scratch.write(index.groupBy("token", F.col("component").alias("other")).agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("largest").alias("reach")), "matrix")
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("largest").alias("reach"),
+        F.max("nth").alias("most"), F.max("rest").alias("left"), F.max("rare").alias("rare")), "matrix")
+    # a pair shares no more than its tokens up to this one and those after it allow
+    overlap = F.least("nth", "most") + F.least("rest", "left")
     sized = ((100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high"))
-             & (F.col("low") <= F.col("largest")) & (F.col("n") <= F.col("reach")))
-    met = index.join(groups, "token").where((F.col("component") > F.col("other")) & sized).groupBy("cls", "n", "other").agg(F.count(F.lit(1)).alias("m"))
-    met = scratch.write(met.where(F.col("m") >= k).select("cls", "other"), "met")
+             & (F.col("low") <= F.col("largest")) & (F.col("n") <= F.col("reach"))
+             & ((100 + percent) * overlap >= percent * (F.col("n") + F.col("low"))))
+    met = index.where("rare").drop("rare").join(groups.where("rare").drop("rare"), "token").where((F.col("component") > F.col("other")) & sized)
+    met = scratch.write(met.select("cls", "other").distinct(), "met")
     able = scratch.write(index.select("cls", "n", "component").distinct(), "able")
     scratch.drop(index, sharing, groups, shared)
 
@@ -391,7 +399,7 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
             yield pa.RecordBatch.from_arrays([b.column(i).take(pa.array(keep, pa.int32())) for i in range(3)], names=["cls", "component", "part"])
 
     asked = met.withColumnRenamed("other", "component").join(unions, "component").join(bits, "cls")
-    opened = scratch.write(asked.select("cls", "component", "part", "n", "bits", "tokens").mapInArrow(bound, "cls long, component long, part long"), "opened")
+    opened = scratch.write(asked.select("cls", "component", "part", "n", "bits", "tokens").mapInArrow(releasing(bound), "cls long, component long, part long"), "opened")
     more = scratch.write(_first_links(scratch, opened, member, docs, width, percent), "more")
     scratch.drop(unions, opened, sets, leaders, member, met, parts, able)
 

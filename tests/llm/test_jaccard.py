@@ -83,3 +83,32 @@ def test_common_tokens_only_change_the_order(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "LEADER_KEYS", 1)
     monkeypatch.setattr(jaccard, "PART_TOKENS", 20)
     assert got(jaccard.jaccard_components(df, 2, 80)) == want
+
+
+def test_pairs_in_different_groups_meet_by_their_rarer_tokens(spark, monkeypatch):
+    """Texts long enough to share several prefix tokens, with edits on both sides of the limit; a common passage in all."""
+    rng = random.Random(11)
+    vocab = [f"w{i}" for i in range(3000)]
+    common = [rng.choice(vocab) for _ in range(25)]
+    rows = []
+    for family in range(12):
+        words = [rng.choice(vocab) for _ in range(rng.randint(40, 260))] + common
+        for copy in range(6):
+            near = list(words)
+            for _ in range(rng.randint(0, max(1, len(words) // 50))):
+                near[rng.randrange(len(near))] = rng.choice(vocab)
+            rows.append((len(rows), " ".join(near[:len(near) - rng.randint(0, 6)])))
+    told, write = {}, jaccard.Scratch.write
+
+    def kept(self, df, name):
+        out = write(self, df, name)
+        if name == "index":
+            told[name] = (out.count(), out.where("rare").count())
+        return out
+
+    monkeypatch.setattr(jaccard.Scratch, "write", kept)
+    monkeypatch.setattr(jaccard, "LEADER_KEYS", 1)  # more pairs are left to the groups
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (80, 90):
+        assert got(jaccard.jaccard_components(df, 3, percent)) == brute(rows, 3, percent)
+        assert 0 < told["index"][1] < told["index"][0]
