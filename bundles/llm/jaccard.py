@@ -8,9 +8,10 @@ make the groups.  What is left
 are pairs of classes in different groups.  For these, a group's token union
 stands for its members: a class meets another group only by a prefix token that is
 not among the most frequent of either and whose place allows the sizes found
-there, the overlap with the union of each (bounded) part
-of the group bounds the similarity to every member, and only parts that the
-bound lets through are opened and compared member by member.
+there, and only by one of the tokens that the same classes have.  The overlap with
+the union of each (bounded) part of the group bounds the similarity to every
+member, and only parts that the bound lets through are opened and compared
+member by member.
 
 Sets and unions travel as bitmaps of their hashed tokens.  A bit that only one
 of two bitmaps has stands for at least one token that only that set has, so
@@ -299,6 +300,39 @@ def _first_links(scratch: Scratch, opened: DataFrame, member: DataFrame, docs: D
     return told.select("component", "part", "chunk", "cls", "asks", "text").groupBy("component", "part", "chunk").applyInArrow(find, "a long, b long")
 
 
+def _meetings(scratch: Scratch, index: DataFrame, percent: int) -> DataFrame:
+    """Rows ``(cls, other)``: classes and groups of other classes that may link, once per token by which they meet.
+
+    ``index`` holds, per class and prefix token that classes of different
+    groups share, the token's place among those of the class, frequent ones
+    first, and whether it is ``rare``.  Of the tokens that the prefixes of a
+    pair share, the rarest has a place of their number at least in both
+    classes, and is rare in both.
+    """
+    # tokens that the same classes would meet by bring the same pairs together: they meet by the rarest of these only,
+    # which has the last place with all of them; the bounds below hold at any token that a pair shares
+    same = index.where("rare").groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.max("held").alias("held"), F.count(F.lit(1)).alias("m"),
+        F.bit_xor(F.xxhash64("cls")).alias("s1"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("s2"))
+    same = same.where("low < high").groupBy("m", "s1", "s2").agg(F.max(F.struct(-F.col("held"), "token"))["token"].alias("token")).select("token")
+    meeting = scratch.write(index.where("rare").drop("rare", "held").join(same, "token", "left_semi"), "meeting")
+    groups = scratch.write(meeting.groupBy("token", F.col("component").alias("other")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("largest").alias("reach"), F.max("place").alias("last"),
+        F.max("nth").alias("most"), F.max("rest").alias("left")), "matrix")
+    # a pair shares no more than its tokens up to this one and those after it allow
+    overlap = F.least("nth", "most") + F.least("rest", "left")
+    # the prefix that ends first is shared whole but for tokens that only one has, which are no more than sizes allow;
+    # so prefixes share this many tokens at least, by the sizes in the group
+    part, less = percent / (100 + percent), (5 * percent - 100) / 400
+    shared = F.least(part * (F.col("n") + F.col("low")) - less * F.col("n"), part * F.col("n") + (part - less) * F.col("low"),
+                     part * F.col("n") + (part - less) * F.col("high")) - 1
+    return meeting.join(groups, "token").where(
+        (F.col("component") > F.col("other")) & (F.least("place", "last") >= shared)
+        & (100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high"))
+        & (F.col("low") <= F.col("largest")) & (F.col("n") <= F.col("reach"))
+        & ((100 + percent) * overlap >= percent * (F.col("n") + F.col("low")))).select("cls", "other")
+
+
 def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows ``(doc_id, n_shingles, component_id)``, one per input row.
 
@@ -358,22 +392,11 @@ def jaccard_components(df: DataFrame, width: int = 3, percent: int = 90, key: st
     # tokens that classes of different groups share, and the groups that a class meets by them
     shared = scratch.write(index.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held"))
                            .where("low < high").select("token", "held"), "shared")
-    # of the k tokens that a pair shares at least, the rarest is not among the k - 1 most frequent of either class, so
-    # classes and groups meet without those
-    rare = F.row_number().over(own.orderBy(F.desc("held"), "token")) >= k
-    index = scratch.write(index.join(shared, "token").withColumn("rare", rare).drop("held"), "index")
-    groups = scratch.write(index.groupBy("token", F.col("component").alias("other")).agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("largest").alias("reach"),
-        F.max("nth").alias("most"), F.max("rest").alias("left"), F.max("rare").alias("rare")), "matrix")
-    # a pair shares no more than its tokens up to this one and those after it allow
-    overlap = F.least("nth", "most") + F.least("rest", "left")
-    sized = ((100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high"))
-             & (F.col("low") <= F.col("largest")) & (F.col("n") <= F.col("reach"))
-             & ((100 + percent) * overlap >= percent * (F.col("n") + F.col("low"))))
-    met = index.where("rare").drop("rare").join(groups.where("rare").drop("rare"), "token").where((F.col("component") > F.col("other")) & sized)
-    met = scratch.write(met.select("cls", "other").distinct(), "met")
+    index = scratch.write(index.join(shared, "token").withColumn("place", F.row_number().over(own.orderBy(F.desc("held"), "token")))
+                          .withColumn("rare", F.col("place") >= k), "index")
+    met = scratch.write(_meetings(scratch, index, percent).distinct(), "met")
     able = scratch.write(index.select("cls", "n", "component").distinct(), "able")
-    scratch.drop(index, sharing, groups, shared)
+    scratch.drop(index, sharing, shared)
 
     # parts of the groups that are met, their unions, the bound, and the members of what it lets through
     wanted = met.select(F.col("other").alias("component")).distinct()

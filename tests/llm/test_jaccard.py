@@ -112,3 +112,39 @@ def test_pairs_in_different_groups_meet_by_their_rarer_tokens(spark, monkeypatch
     for percent in (80, 90):
         assert got(jaccard.jaccard_components(df, 3, percent)) == brute(rows, 3, percent)
         assert 0 < told["index"][1] < told["index"][0]
+
+
+def test_families_without_links_meet_by_few_tokens(spark, monkeypatch):
+    rng, rows = random.Random(11), []
+    for f in range(4):  # edited copies of one text, most pairs of which are just not close enough; some are, some are shorter
+        base = [f"f{f}w{i}" for i in range(400)]
+        for i in range(24):
+            words = [f"x{rng.random()}" if rng.random() < 0.03 else w for w in base[rng.choice([0, 0, 0, 60]):]]
+            rows.append((len(rows), " ".join(words)))
+            if i % 8 == 0:
+                rows.append((len(rows), " ".join(words[:-rng.randint(1, 90)])))
+    rng.shuffle(rows)
+    made, pairs = [], jaccard._meetings
+
+    def counted(*args):
+        out = pairs(*args)
+        made.append((out.count(), out.distinct().count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "_meetings", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(jaccard.jaccard_components(docs, 5, 78)) == brute(rows, 5, 78)
+    (n, m), = made
+    assert m > 100 and n <= 12 * m, made
+
+
+def test_links_between_groups_of_all_sizes(spark):
+    rng, rows = random.Random(12), []
+    for f in range(60):
+        base = [f"f{f}w{i}" for i in range(rng.randint(5, 200))]
+        for i in range(6):
+            words = [rng.choice(["a", "b", f"x{rng.random()}"]) if rng.random() < 0.02 else w for w in base]
+            rows.append((len(rows), " ".join(words[rng.randint(0, len(words) // 8):])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for width, percent in ((1, 15), (2, 60), (3, 90)):
+        assert got(jaccard.jaccard_components(docs, width, percent)) == brute(rows, width, percent), (width, percent)
