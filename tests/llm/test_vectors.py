@@ -112,3 +112,25 @@ def test_graph_recall(spark):
             found = hnsw.search(g, data, q)
             hits += len(set(found[np.argsort(-s[found])[:20]].tolist()) & set(np.argsort(-s)[:20].tolist()))
         assert hits / 2000 > 0.95
+
+
+def test_op4_shuffles_no_vectors_for_pairs(spark, monkeypatch):
+    """Vectors of several chunks meet without an exchange, so disk does not grow with the pairs."""
+    plans, write = [], vectors.Scratch.write
+    monkeypatch.setattr(vectors.Scratch, "write", lambda self, df, name: (plans.append((name, df._jdf.queryExecution().toString())), write(self, df, name))[1])
+    monkeypatch.setattr(vectors, "CHUNK", 70)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(clusters(300, seed=8))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert got(vectors.near_duplicates(df)) == brute_links(rows, 0.95)
+    linked = [plan for name, plan in plans if name == "linked"]
+    assert len(linked) > 3 and not any("Exchange" in plan for plan in linked)
+
+
+def test_op4_signed_zeros_and_low_thresholds(spark):
+    """Vectors that differ in the sign of a zero are equal; where most pairs pass the first product, the second tells."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(rng.standard_normal((60, 20)))]
+    rows += [(100, [0.0, 1.0] + [0.0] * 18), (101, [-0.0, 1.0] + [0.0] * 18)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for cosine in (0.2, 0.95):
+        assert got(vectors.near_duplicates(df, cosine=cosine, dims=4)) == brute_links(rows, cosine)
